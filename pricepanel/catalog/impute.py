@@ -96,11 +96,11 @@ view("decay_filled", ["comp_dense"], DECAY)
 
 @query(
     "d5_decay_fill",
-    sql="SELECT entity, obs_date, round(price, 4) AS price FROM decay_filled",
+    sql="SELECT entity, obs_date, round(price, 6) AS price FROM decay_filled",
     uses=["decay_filled"],
 )
 def decay_fill(spark, root):
-    return price_only(I.decay_fill(comp_dense(spark, root)), 4)
+    return price_only(I.decay_fill(comp_dense(spark, root)))
 
 
 @query("d6_interpolate_after_fill", sql=TWO_WAY_SQL, uses=["two_way"])
@@ -112,10 +112,10 @@ def interpolate_after_fill(spark, root):
     "d6_interpolate",
     sql=f"""SELECT entity, obs_date, round(coalesce(price, pv + (nv - pv) * ((rn - pn) / (nn - pn)), pv), 4)
         AS price FROM (SELECT entity, obs_date, price, rn, {FFILL} AS pv, {BFILL} AS nv,
-          last_value(at IGNORE NULLS) OVER (PARTITION BY entity ORDER BY obs_date) AS pn,
-          first_value(at IGNORE NULLS) OVER (PARTITION BY entity ORDER BY obs_date
+          last_value(known_at IGNORE NULLS) OVER (PARTITION BY entity ORDER BY obs_date) AS pn,
+          first_value(known_at IGNORE NULLS) OVER (PARTITION BY entity ORDER BY obs_date
             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nn
-        FROM (SELECT *, CASE WHEN price IS NOT NULL THEN rn END AS at FROM (SELECT *,
+        FROM (SELECT *, CASE WHEN price IS NOT NULL THEN rn END AS known_at FROM (SELECT *,
           row_number() OVER (PARTITION BY entity ORDER BY obs_date) AS rn FROM comp_dense)))""",
     uses=["comp_dense"],
 )
@@ -136,7 +136,7 @@ def baseline_fill(spark, root):
 @query(
     "d9_impute_by_gap",
     sql="""SELECT entity, obs_date, m.method, round(CASE WHEN m.method = 'time_series_decay'
-          THEN d.price ELSE t.price END, 4) AS price
+          THEN d.price ELSE t.price END, 6) AS price
         FROM decay_filled d JOIN two_way t USING (entity, obs_date) JOIN ("""
     + GAPS.format(t="comp_dense", o="obs_date")
     + ") m USING (entity)",
@@ -144,7 +144,7 @@ def baseline_fill(spark, root):
 )
 def impute_by_gap(spark, root):
     out = I.impute_by_gap(comp_dense(spark, root))
-    return out.select("entity", "obs_date", "method", F.round("price", 4).alias("price"))
+    return out.select("entity", "obs_date", "method", F.round("price", 6).alias("price"))
 
 
 @query("d10_impute_univariate", sql=TWO_WAY_SQL, uses=["two_way"])

@@ -100,15 +100,12 @@ view(
 
 @query(
     "e5_detrend",
-    sql="""SELECT focal_id, obs_date, round(trend, 4) AS trend, round(deviation, 6) AS deviation
-        FROM detrended""",
+    sql="SELECT focal_id, obs_date, round(deviation, 6) AS deviation FROM detrended",
     uses=["detrended"],
 )
 def detrend(spark, root):
     out = N.detrend(A.portfolio(spark, root), "base_rate", ["focal_id"])
-    return out.select(
-        "focal_id", "obs_date", F.round("trend", 4).alias("trend"), F.round("deviation", 6).alias("deviation")
-    )
+    return out.select("focal_id", "obs_date", F.round("deviation", 6).alias("deviation"))
 
 
 @query(
