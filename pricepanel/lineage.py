@@ -8,6 +8,8 @@ setting is absent *and* the session runs in local mode (unit tests).
 
 from __future__ import annotations
 
+import pathlib
+import shutil
 import tempfile
 import uuid
 
@@ -40,3 +42,20 @@ def cut(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of all executors (once per application)."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = pathlib.Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="pricepanel-code-")
+    archive = shutil.make_archive(
+        f"{folder}/pricepanel", "zip", root_dir=package.parent, base_dir=package.name
+    )
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)

@@ -22,6 +22,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from pricepanel.lineage import ship
+
 # Partials held by one task before it emits them (number of doubles).
 _FLUSH_AT = 4_000_000
 
@@ -105,6 +107,7 @@ def vector_gram(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
         if held:
             yield emit(held)
 
+    ship(df.sparkSession)
     return df.select(*keys, vector).mapInPandas(reduce_batches, schema)
 
 

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pricepanel.functions.stats import dot
-from pricepanel.lineage import cut
+from pricepanel.lineage import cut, ship
 from pricepanel.operators import gram as G, solve as S
 
 DOUBLES = T.ArrayType(T.DoubleType())
@@ -373,6 +373,7 @@ def knn_impute(rows: DataFrame, k: int = 5, tile: int = TILE) -> DataFrame:
         out.insert(0, "focal_id", left["focal_id"].iloc[0])
         return out[names]
 
+    ship(rows.sparkSession)
     found = (
         targets.groupBy("focal_id", "t", "d")
         .cogroup(donors.groupBy("d_focal", "d_t", "d_d"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pricepanel.functions.calendar import INSTRUMENTS, with_instruments
 from pricepanel.functions.stats import dot, stars
+from pricepanel.lineage import ship
 from pricepanel.operators import gram as G, solve as S
 
 DOUBLES = T.ArrayType(T.DoubleType())
@@ -38,6 +39,7 @@ def stage1(panel: DataFrame, keys: list[str] | None = None, value: str = "price"
     instruments are collinear in the sample.
     """
     keys = keys or ["entity"]
+    ship(panel.sparkSession)
     grams = stage1_gram(panel, keys, value)
     schema = T.StructType(
         _key_fields(grams, keys)

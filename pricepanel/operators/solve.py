@@ -135,14 +135,19 @@ def lasso_path(c: np.ndarray, q: np.ndarray, alphas: np.ndarray) -> np.ndarray:
     out = np.zeros((len(alphas), p))
     diag = np.diag(c).copy()
     usable = diag > 1e-14
+    # Of duplicate columns only the first can be selected; any split between them is
+    # equally good, and cyclic descent would also leave the later ones at zero.
+    norm = np.sqrt(np.where(usable, diag, 1.0))
+    for j in range(1, p):
+        same = usable[:j] & (np.abs(c[j, :j]) >= (1 - 1e-10) * norm[j] * norm[:j])
+        usable[j] &= not same.any()
     top = np.abs(np.where(usable, q, 0.0)).max(initial=0.0)
     if top <= alphas[-1]:
         return out
-    # Of equally strong (duplicate) columns the first one enters.
     first = int(np.flatnonzero(usable & (np.abs(q) >= top * (1 - 1e-12)))[0])
     active, sign = [first], {first: np.sign(q[first])}
     barred: set[int] = set()
-    alpha, dropped = top, None
+    alpha, dropped, joined = top, None, first
     for _ in range(20 * p + 20):
         a = np.array(active, dtype=int)
         s = np.array([sign[j] for j in active])
@@ -166,14 +171,15 @@ def lasso_path(c: np.ndarray, q: np.ndarray, alphas: np.ndarray) -> np.ndarray:
         with np.errstate(divide="ignore", invalid="ignore"):
             zero = u / v
         for i, j in enumerate(active):
-            if np.isfinite(zero[i]) and nxt < zero[i] < ceiling:
+            # A coefficient that has just entered starts at zero and moves away from it.
+            if j != joined and np.isfinite(zero[i]) and nxt < zero[i] < ceiling:
                 nxt, event = zero[i], ("drop", j, sign[j])
         inside = (alphas <= alpha) & (alphas > nxt)
         if inside.any() and len(a):
             out[np.ix_(inside, a)] = u[None, :] - alphas[inside][:, None] * v[None, :]
         if event is None or nxt <= alphas[-1]:
             break
-        alpha, dropped = nxt, None
+        alpha, dropped, joined = nxt, None, None
         kind, j, side = event
         if kind == "drop":
             active.remove(j)
@@ -189,7 +195,8 @@ def lasso_path(c: np.ndarray, q: np.ndarray, alphas: np.ndarray) -> np.ndarray:
             else:
                 active.append(j)
                 sign[j] = side
-    gradient = q[None, :] - out @ c
+                joined = j
+    gradient = np.where(usable, q[None, :] - out @ c, 0.0)
     slack = 1e-7 * top
     for k, alpha in enumerate(alphas):
         on = out[k] != 0

@@ -13,9 +13,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from pricepanel.functions.stats import dot
+from pricepanel.functions.stats import dot, stars
+from pricepanel.lineage import cut
 from pricepanel.operators import gram as G, solve as S
 from pricepanel.operators.normalise import detrend, retrend
+from pricepanel.operators.regress import equation
 
 # Window layout and lasso grid of the published protocol.
 MIN_TRAIN = 300
@@ -312,7 +314,7 @@ def cv_direct(
     n_alphas: int = 100,
 ) -> tuple[DataFrame, DataFrame]:
     """(models, fold scores) of the direct approach."""
-    models = fit_folds(design, n_alphas, min_train=min_train, window=window)
+    models = cut(fit_folds(design, n_alphas, min_train=min_train, window=window))
     return models, _scored(design, models, min_train, window)
 
 
@@ -373,7 +375,7 @@ def cv_detrended(
     flat, failed = complete_only(
         detrended_design(design, trend_window, trend_shift=trend_shift)
     )
-    models = fit_folds(flat, n_alphas, min_train=min_train, window=window)
+    models = cut(fit_folds(flat, n_alphas, min_train=min_train, window=window))
     return models, _scored(flat, models, min_train, window), failed
 
 
@@ -556,10 +558,7 @@ def insample(
 
     ``dictionary`` is (focal_id, features) in the order of ``x``.
     """
-    from pricepanel.functions.stats import stars
-    from pricepanel.operators.regress import equation
-
-    models = fit_folds(design, n_alphas, limit=1e-10, fallback=fallback, outer=False)
+    models = cut(fit_folds(design, n_alphas, limit=1e-10, fallback=fallback, outer=False))
     fits = models.where("fold = 0")
     scored = metrics(
         predict(design, fits.where("status = 'Success'"), ["focal_id"]), ["focal_id"], "insample"
