@@ -59,3 +59,14 @@ def ship(spark: SparkSession) -> None:
     )
     context.addPyFile(archive)
     _SHIPPED.add(context.applicationId)
+
+
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Hash-partition by ``keys`` into ``spark.sql.shuffle.partitions`` tasks.
+
+    Cross products are small in bytes but expensive to solve, so partitions
+    sized by bytes would merge the work of many focals into one task.  An
+    explicit partition count is left alone by adaptive coalescing.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)

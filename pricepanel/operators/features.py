@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricepanel.functions import calendar as C
+from pricepanel.lineage import spread
 from pricepanel.operators.impute import last_known
 
 ENTITY = ["entity"]
@@ -83,7 +84,7 @@ def row_vectors(target: DataFrame, comp: DataFrame) -> DataFrame:
         F.first("base_rate").alias("base_rate"),
         F.map_from_entries(F.collect_list(F.when(known, F.struct("entity", "price")))).alias("_cells"),
     )
-    return by_date.join(columns, "focal_id").select(
+    return spread(by_date.join(columns, "focal_id"), ["focal_id"]).select(
         "focal_id",
         "obs_date",
         "columns",

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pricepanel.functions.stats import dot
-from pricepanel.lineage import cut, ship
+from pricepanel.lineage import cut, ship, spread
 from pricepanel.operators import gram as G, solve as S
 
 DOUBLES = T.ArrayType(T.DoubleType())
@@ -179,7 +179,7 @@ def iterative_impute(rows: DataFrame, rounds: int = 10, tol: float = 1e-3) -> Da
             }
         )
 
-    maps = pattern_gram(rows).groupBy("focal_id").applyInPandas(solve, schema)
+    maps = spread(pattern_gram(rows), ["focal_id"]).groupBy("focal_id").applyInPandas(solve, schema)
     filled = (
         rows.withColumn("pattern", missing_pattern(F.col("row")))
         .join(maps, ["focal_id", "pattern"])
@@ -242,7 +242,7 @@ def soft_impute(
             }
         )
 
-    maps = pattern_gram(rows).groupBy("focal_id").applyInPandas(solve, schema)
+    maps = spread(pattern_gram(rows), ["focal_id"]).groupBy("focal_id").applyInPandas(solve, schema)
     return (
         rows.withColumn("pattern", missing_pattern(F.col("row")))
         .join(maps, ["focal_id", "pattern"])
@@ -375,8 +375,11 @@ def knn_impute(rows: DataFrame, k: int = 5, tile: int = TILE) -> DataFrame:
 
     ship(rows.sparkSession)
     found = (
-        targets.groupBy("focal_id", "t", "d")
-        .cogroup(donors.groupBy("d_focal", "d_t", "d_d"))
+        spread(targets, ["focal_id", "t", "d"])
+        .groupBy("focal_id", "t", "d")
+        .cogroup(
+            spread(donors, ["d_focal", "d_t", "d_d"]).groupBy("d_focal", "d_t", "d_d")
+        )
         .applyInPandas(nearest, schema)
     )
     best = found.groupBy("focal_id", "obs_date", "pos").agg(

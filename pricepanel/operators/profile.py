@@ -234,43 +234,42 @@ def readiness(
     whole tables.  The result is one row per check.
     """
     v = F.col(value)
-    fr = focal.agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
-    cr = comp.agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
-    window = fr.unionByName(cr).agg(F.struct(F.max("lo").alias("lo"), F.min("hi").alias("hi")).alias("w"))
-    w = window.scalar()
-    inside = F.col(date).between(w.getField("lo"), w.getField("hi"))
+    ranges = [df.agg(F.min(date).alias("lo"), F.max(date).alias("hi")) for df in (focal, comp)]
+    # One row with two dates; as literals they can be pushed into every scan below.
+    w = ranges[0].unionByName(ranges[1]).agg(F.max("lo").alias("lo"), F.min("hi").alias("hi")).first()
+    inside = F.col(date).between(F.lit(w["lo"]), F.lit(w["hi"]))
 
     daily_f = focal.where(inside).groupBy(date).agg(F.avg(value).alias("f"))
     daily_c = comp.where(inside).groupBy(date).agg(F.avg(value).alias("c"))
-    joint = (
-        daily_f.join(daily_c, date)
-        .agg(
-            F.struct(
-                F.count(F.lit(1)).alias("days"), safe_corr(F.col("f"), F.col("c")).alias("corr")
-            ).alias("s")
-        )
-        .scalar()
+    joint = daily_f.join(daily_c, date).agg(
+        F.count(F.lit(1)).alias("days"), safe_corr(F.col("f"), F.col("c")).alias("corr")
     )
 
-    def side(df: DataFrame, with_entities: bool) -> Column:
+    def side(df: DataFrame, tag: str) -> DataFrame:
         fields = [
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(v <= 0).alias("invalid"),
-            null_count(v).alias("nulls"),
-            F.stddev_samp(F.when(inside, v)).alias("sd"),
+            F.count(F.lit(1)).alias(f"{tag}_rows"),
+            F.count_if(v <= 0).alias(f"{tag}_invalid"),
+            null_count(v).alias(f"{tag}_nulls"),
+            F.stddev_samp(F.when(inside, v)).alias(f"{tag}_sd"),
         ]
-        if with_entities:
+        if tag == "c":
             fields.append(F.count_distinct(entity).alias("entities"))
-        return df.agg(F.struct(*fields).alias("s")).scalar()
+        return df.agg(*fields)
 
-    f, c = side(focal, False), side(comp, True)
+    # Three one-row results folded into one row.
+    parts = (
+        side(focal, "f")
+        .unionByName(side(comp, "c"), allowMissingColumns=True)
+        .unionByName(joint, allowMissingColumns=True)
+    )
+    figures = parts.agg(*[F.max(c).alias(c) for c in parts.columns])
     checks = {
-        "sufficient_overlap": joint.getField("days") >= 100,
-        "clean_price_data": (f.getField("invalid") + c.getField("invalid")) == 0,
-        "missing_data_manageable": F.try_divide(c.getField("nulls"), c.getField("rows")) < 0.05,
-        "price_variation_adequate": (f.getField("sd") > 0) & (c.getField("sd") > 0),
-        "meaningful_correlation": F.abs(joint.getField("corr")) > 0.2,
-        "multiple_competitors": c.getField("entities") >= 3,
+        "sufficient_overlap": F.col("days") >= 100,
+        "clean_price_data": (F.col("f_invalid") + F.col("c_invalid")) == 0,
+        "missing_data_manageable": F.try_divide(F.col("c_nulls"), F.col("c_rows")) < 0.05,
+        "price_variation_adequate": (F.col("f_sd") > 0) & (F.col("c_sd") > 0),
+        "meaningful_correlation": F.abs("corr") > 0.2,
+        "multiple_competitors": F.col("entities") >= 3,
         "instruments_available": F.lit(True),
     }
     rows = F.array(
@@ -284,10 +283,8 @@ def readiness(
     score = F.aggregate(
         "checks", F.lit(0), lambda acc, x: acc + x["passed"].cast("int")
     ) / F.lit(len(checks))
-    # One anchor row carries the scalar results; the checks are then unrolled.
     return (
-        joint_anchor(comp)
-        .select(rows.alias("checks"))
+        figures.select(rows.alias("checks"))
         .withColumn("score", score)
         .withColumn(
             "verdict",
@@ -297,8 +294,3 @@ def readiness(
         )
         .select(F.inline("checks"), "score", "verdict")
     )
-
-
-def joint_anchor(df: DataFrame) -> DataFrame:
-    """A single row in the session of ``df`` to hang scalar subqueries on."""
-    return df.sparkSession.range(1)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pricepanel.functions.calendar import INSTRUMENTS, with_instruments
 from pricepanel.functions.stats import dot, stars
-from pricepanel.lineage import ship
+from pricepanel.lineage import ship, spread
 from pricepanel.operators import gram as G, solve as S
 
 DOUBLES = T.ArrayType(T.DoubleType())
@@ -237,7 +237,7 @@ def stage2(design: DataFrame, keys: list[str] | None = None) -> DataFrame:
         row += [o0, o, rss_ols]
         return pd.DataFrame([row], columns=[f.name for f in schema])
 
-    return partials.groupBy(*keys).applyInPandas(solve, schema)
+    return spread(partials, keys).groupBy(*keys).applyInPandas(solve, schema)
 
 
 def stage2_terms(models: DataFrame, design: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -156,18 +156,19 @@ def lasso_path(c: np.ndarray, q: np.ndarray, alphas: np.ndarray) -> np.ndarray:
         const, slope = q - c[:, a] @ u, c[:, a] @ v
         ceiling = alpha * (1 - 1e-12)
         nxt, event = 0.0, None
-        for j in np.flatnonzero(usable):
-            if j in sign or j in barred:
-                continue
-            for side in (1.0, -1.0):
-                if dropped == (j, side):
-                    continue
-                rate = side - slope[j]
-                if abs(rate) < 1e-9:
-                    continue
-                at = const[j] / rate
-                if nxt < at < ceiling:
-                    nxt, event = at, ("join", int(j), side)
+        open_ = usable.copy()
+        open_[a] = False
+        open_[list(barred)] = False
+        for side in (1.0, -1.0):
+            rate = side - slope
+            ok = open_ & (np.abs(rate) >= 1e-9)
+            if dropped is not None and dropped[1] == side:
+                ok[dropped[0]] = False
+            at = np.where(ok, const / np.where(ok, rate, 1.0), -1.0)
+            at[at >= ceiling] = -1.0
+            j = int(np.argmax(at))
+            if at[j] > nxt:
+                nxt, event = at[j], ("join", j, side)
         with np.errstate(divide="ignore", invalid="ignore"):
             zero = u / v
         for i, j in enumerate(active):

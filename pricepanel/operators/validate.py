@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pricepanel.functions.stats import dot, stars
-from pricepanel.lineage import cut
+from pricepanel.lineage import cut, spread
 from pricepanel.operators import gram as G, solve as S
 from pricepanel.operators.normalise import detrend, retrend
 from pricepanel.operators.regress import equation
@@ -246,7 +246,7 @@ def fit_folds(
             rows = [[focal_id, 0] + [None] * 8 + [f"Failed: {e}"]]
         return pd.DataFrame(rows, columns=[f.name for f in schema])
 
-    return block_gram(design).groupBy("focal_id").applyInPandas(solve, schema)
+    return spread(block_gram(design), ["focal_id"]).groupBy("focal_id").applyInPandas(solve, schema)
 
 
 # --- scoring --------------------------------------------------------------------------
@@ -548,7 +548,7 @@ def ols_hc1(design: DataFrame, models: DataFrame) -> DataFrame:
             columns=[f.name for f in schema],
         )
 
-    return parts.groupBy("focal_id").applyInPandas(solve, schema)
+    return spread(parts, ["focal_id"]).groupBy("focal_id").applyInPandas(solve, schema)
 
 
 def insample(
