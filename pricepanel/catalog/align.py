@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from pricepanel.catalog.base import query, view
 from pricepanel.functions import text as T
@@ -290,6 +290,22 @@ def display_names(spark, root):
     )
 
 
+@query(
+    "c19_sorted_panel",
+    sql="""SELECT entity, obs_date, price, row_number() OVER (PARTITION BY entity ORDER BY obs_date) AS position
+        FROM comp ORDER BY entity, obs_date""",
+    uses=["comp"],
+)
+def sorted_panel(spark, root):
+    """Row order by key, as a position inside each series and as the output order."""
+    w = Window.partitionBy("entity").orderBy("obs_date")
+    return (
+        A.competitor_panel(spark, root)
+        .select("entity", "obs_date", "price", F.row_number().over(w).cast("bigint").alias("position"))
+        .orderBy("entity", "obs_date")
+    )
+
+
 @query(
     "c20_top_days",
     sql="""SELECT focal_id, obs_date, base_rate FROM portfolio ORDER BY base_rate DESC, focal_id LIMIT 10""",

@@ -185,14 +185,14 @@ def matrix_completion_summary(spark, root):
         F.min("obs_date").alias("date_start"),
         F.max("obs_date").alias("date_end"),
     )
-    out = size.join(Q.corr_preserved(rows, done), "focal_id")
+    states = done.groupBy("focal_id").agg(F.max("status").alias("status"))
+    out = size.join(Q.corr_preserved(rows, done), "focal_id", "left").join(states, "focal_id")
     cells = F.col("matrix_rows") * F.col("matrix_cols")
     summary = out.withColumns(
         {
             "num_competitors": F.col("matrix_cols") - 1,
             "missing_pct": F.try_divide(F.col("missing_values") * 100, cells),
-            "method": F.lit("IterativeImputer"),
-            "status": F.lit("Success"),
+            "method": F.when(F.col("status") == "Success", "IterativeImputer").otherwise("Failed"),
         }
     )
     return A.registry(spark, root).join(summary, "focal_id", "left").withColumn(

@@ -76,6 +76,8 @@ def _ridge_rounds(patterns: dict, rounds: int):
 
     gaps = n_all - seen
     order = [j for j in np.argsort(gaps / n_all, kind="stable") if gaps[j] > 0 and seen[j] > 0]
+    if p == 1:
+        order = []  # nothing to regress on: the mean start is the result
     history = {key: [] for key in patterns}
     const = np.zeros(p + 1)
     const[0] = 1.0
@@ -140,9 +142,31 @@ _MAP_SCHEMA = [
     T.StructField("pattern", T.StringType()),
     T.StructField("shift", DOUBLES),
     T.StructField("maps", T.ArrayType(DOUBLES)),
+    T.StructField("status", T.StringType()),
 ]
 
 
+def _isolated(solve_focal):
+    """Run a focal's solve; a failure becomes a status on its rows instead of ending the job."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return solve_focal(pdf).assign(status="Success")
+        except Exception as e:
+            patterns = sorted(pdf["pattern"].unique())
+            return pd.DataFrame(
+                {
+                    "focal_id": pdf["focal_id"].iloc[0],
+                    "pattern": patterns,
+                    "shift": None,
+                    "maps": None,
+                    "status": f"Failed: {e}",
+                }
+            )
+
+    return run
+
+
 def _apply_map(row: Column, shift: Column, flat: Column) -> Column:
     """Completed row: observed cells as they are, missing ones from the map."""
     p = F.size(row)
@@ -179,7 +203,7 @@ def iterative_impute(rows: DataFrame, rounds: int = 10, tol: float = 1e-3) -> Da
             }
         )
 
-    maps = spread(pattern_gram(rows), ["focal_id"]).groupBy("focal_id").applyInPandas(solve, schema)
+    maps = spread(pattern_gram(rows), ["focal_id"]).groupBy("focal_id").applyInPandas(_isolated(solve), schema)
     filled = (
         rows.withColumn("pattern", missing_pattern(F.col("row")))
         .join(maps, ["focal_id", "pattern"])
@@ -211,9 +235,10 @@ def iterative_impute(rows: DataFrame, rounds: int = 10, tol: float = 1e-3) -> Da
         "focal_id",
         "obs_date",
         "columns",
-        F.get("_steps", F.col("rounds_used") - 1).alias("row"),
+        F.coalesce(F.get("_steps", F.col("rounds_used") - 1), "row").alias("row"),
         (F.locate("1", "pattern") > 0).alias("had_missing"),
         "rounds_used",
+        "status",
     )
 
 
@@ -242,7 +267,7 @@ def soft_impute(
             }
         )
 
-    maps = spread(pattern_gram(rows), ["focal_id"]).groupBy("focal_id").applyInPandas(solve, schema)
+    maps = spread(pattern_gram(rows), ["focal_id"]).groupBy("focal_id").applyInPandas(_isolated(solve), schema)
     return (
         rows.withColumn("pattern", missing_pattern(F.col("row")))
         .join(maps, ["focal_id", "pattern"])
@@ -252,6 +277,7 @@ def soft_impute(
             "columns",
             _apply_map(F.col("row"), F.col("shift"), F.get("maps", F.lit(0))).alias("row"),
             (F.locate("1", "pattern") > 0).alias("had_missing"),
+            "status",
         )
     )
 
@@ -429,7 +455,7 @@ def mice_rf(
     cols: list[str],
     rounds: int = 10,
     trees: int = 10,
-    depth: int = 12,
+    depth: int = 8,
     seed: int = 42,
     tol: float = 1e-3,
 ) -> DataFrame:

@@ -25,19 +25,28 @@ def iqr_flag(
     return rows.withColumn("is_outlier", F.coalesce(outside, F.lit(False))).drop("_q1", "_q3")
 
 
-def median_mad(df: DataFrame, value: str, keys: list[str] | None = None) -> DataFrame:
+def median_mad(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     """Median and median absolute deviation per group (keys + ``median``, ``mad``)."""
-    keys = keys or []
     med = exact_quantiles(df, value, {"median": 0.5}, keys)
-    if keys:
-        rows = df.join(med, keys)
-    else:
-        rows = df.withColumn("median", med.scalar())
-    dev = rows.withColumn("_dev", F.abs(F.col(value) - F.col("median")))
-    mad = exact_quantiles(dev, "_dev", {"mad": 0.5}, keys)
-    if keys:
-        return med.join(mad, keys)
-    return mad.withColumn("median", med.scalar())
+    dev = df.join(med, keys).withColumn("_dev", F.abs(F.col(value) - F.col("median")))
+    return med.join(exact_quantiles(dev, "_dev", {"mad": 0.5}, keys), keys)
+
+
+def overall_median_mad(df: DataFrame, value: str) -> tuple[float | None, float | None]:
+    """Median and MAD of a whole column.
+
+    The MAD needs the median first; fetching these two numbers one after the
+    other keeps each plan flat instead of nesting one quantile plan in another.
+    """
+
+    def median(x: DataFrame, col: str) -> float | None:
+        row = exact_quantiles(x, col, {"q": 0.5}).first()
+        return row["q"] if row else None
+
+    m = median(df, value)
+    if m is None:
+        return None, None
+    return m, median(df.select(F.abs(F.col(value) - F.lit(m)).alias("_dev")), "_dev")
 
 
 def mad_rescale(
@@ -54,25 +63,21 @@ def mad_rescale(
     NULL when either input holds a NULL, which is what a plain median of raw
     values does.  A zero focal MAD gives NULL.
     """
-
-    def scale(df: DataFrame, value: str) -> Column:
-        stats = median_mad(df, value).agg(
-            F.struct(F.max("median").alias("median"), F.max("mad").alias("mad")).alias("s")
-        ).scalar()
-        return stats
-
-    f, c = scale(focal, focal_value), scale(comp, comp_value)
+    (f_mid, f_mad), (c_mid, c_mad) = (
+        overall_median_mad(focal, focal_value),
+        overall_median_mad(comp, comp_value),
+    )
+    number = lambda x: F.lit(x).cast("double")
     rescaled = (
-        F.try_divide(F.col(focal_value) - f.getField("median"), f.getField("mad"))
-        * c.getField("mad")
-        + c.getField("median")
+        F.try_divide(F.col(focal_value) - number(f_mid), number(f_mad)) * number(c_mad)
+        + number(c_mid)
     )
     if null_poisons:
-        broken = [
-            df.agg(F.count_if(F.col(v).isNull()).alias("n")).scalar()
-            for df, v in ((focal, focal_value), (comp, comp_value))
-        ]
-        rescaled = F.when((broken[0] + broken[1]) == 0, rescaled)
+        holes = focal.select(F.col(focal_value).alias("v")).unionByName(
+            comp.select(F.col(comp_value).alias("v"))
+        )
+        clean = holes.agg(F.count_if(F.col("v").isNull()).alias("n")).scalar() == 0
+        rescaled = F.when(clean, rescaled)
     return focal.withColumn(out, rescaled)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricepanel.functions.stats import kolmogorov_p, null_count
+from pricepanel.lineage import cut
 from pricepanel.operators.align import semi_align, top_k
 from pricepanel.operators.quantile import exact_quantiles, ks_two_sample
 
@@ -84,6 +85,9 @@ def validate_imputation(
     """One graded row per group: missing counts, distribution deltas, KS test, grade."""
     if on:
         pre, post = semi_align(pre, post, on)
+    # Both samples are read by four aggregations, so they are written once.
+    both = cut(stacked(pre, post, keys, value))
+    pre, post = both.where("is_pre"), both.where("NOT is_pre")
     out = (
         missing_delta(pre, post, keys, value)
         .join(dist_delta(pre, post, keys, value), keys)

@@ -101,7 +101,7 @@ def normal_two_sided(z) -> np.ndarray:
     )
 
 
-def _descend(c, q, alpha, w, sweeps: int = 10_000, tol: float = 1e-9):
+def _descend(c, q, alpha, w, sweeps: int = 10_000, tol: float = 1e-7):
     """Cyclic coordinate descent from ``w``; only used where the homotopy is degenerate."""
     w = w.copy()
     cw = c @ w
