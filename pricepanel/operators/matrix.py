@@ -167,19 +167,20 @@ def _isolated(solve_focal):
     return run
 
 
-def _apply_map(row: Column, shift: Column, flat: Column) -> Column:
-    """Completed row: observed cells as they are, missing ones from the map."""
+def _apply_map(row: Column, flat: Column) -> Column:
+    """Completed row: observed cells as they are, missing ones from the map.
+
+    ``flat`` holds per cell a constant and one weight per column; missing
+    columns have weight zero.
+    """
     p = F.size(row)
-    u = F.concat(
-        F.array(F.lit(1.0)),
-        F.transform(row, lambda v, i: F.coalesce(v - F.get(shift, i), F.lit(0.0))),
-    )
-    return F.transform(
-        row,
-        lambda v, j: F.coalesce(
-            v, F.get(shift, j) + dot(F.slice(flat, j * (p + 1) + 1, p + 1), u)
-        ),
-    )
+
+    def cell(j: Column) -> Column:
+        weights = F.slice(flat, j * (p + 1) + 2, p)
+        terms = F.zip_with(row, weights, lambda v, c: F.coalesce(v * c, F.lit(0.0)))
+        return F.aggregate(terms, F.get(flat, j * (p + 1)), lambda acc, t: acc + t)
+
+    return F.transform(row, lambda v, j: F.coalesce(v, cell(j)))
 
 
 def iterative_impute(rows: DataFrame, rounds: int = 10, tol: float = 1e-3) -> DataFrame:
@@ -194,23 +195,27 @@ def iterative_impute(rows: DataFrame, rounds: int = 10, tol: float = 1e-3) -> Da
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         patterns = _by_pattern(pdf)
         shift, history = _ridge_rounds(patterns, rounds)
+
+        def unshifted(m: np.ndarray) -> np.ndarray:
+            """The same map on unshifted rows."""
+            out = m.copy()
+            out[:, 0] += shift - m[:, 1:] @ shift
+            return out.ravel()
         return pd.DataFrame(
             {
                 "focal_id": pdf["focal_id"].iloc[0],
                 "pattern": list(history),
                 "shift": [shift] * len(history),
-                "maps": [[m.ravel() for m in steps] for steps in history.values()],
+                "maps": [[unshifted(m) for m in steps] for steps in history.values()],
             }
         )
 
     maps = spread(pattern_gram(rows), ["focal_id"]).groupBy("focal_id").applyInPandas(_isolated(solve), schema)
-    filled = (
-        rows.withColumn("pattern", missing_pattern(F.col("row")))
-        .join(maps, ["focal_id", "pattern"])
-        .withColumn(
-            "_steps",
-            F.transform("maps", lambda m: _apply_map(F.col("row"), F.col("shift"), m)),
-        )
+    mapped = rows.withColumn("pattern", missing_pattern(F.col("row"))).join(
+        maps, ["focal_id", "pattern"]
+    )
+    filled = mapped.withColumn(
+        "_steps", F.transform("maps", lambda m: _apply_map(F.col("row"), m))
     )
     start = F.transform("row", lambda v, i: F.coalesce(v, F.get("shift", i)))
 
@@ -231,11 +236,12 @@ def iterative_impute(rows: DataFrame, rounds: int = 10, tol: float = 1e-3) -> Da
         "focal_id",
         F.when(first_quiet > 0, first_quiet).otherwise(rounds).cast("int").alias("rounds_used"),
     )
-    return filled.join(stop, "focal_id").select(
+    final = _apply_map(F.col("row"), F.get("maps", F.col("rounds_used") - 1))
+    return mapped.join(stop, "focal_id").select(
         "focal_id",
         "obs_date",
         "columns",
-        F.coalesce(F.get("_steps", F.col("rounds_used") - 1), "row").alias("row"),
+        F.coalesce(final, "row").alias("row"),
         (F.locate("1", "pattern") > 0).alias("had_missing"),
         "rounds_used",
         "status",
@@ -275,7 +281,7 @@ def soft_impute(
             "focal_id",
             "obs_date",
             "columns",
-            _apply_map(F.col("row"), F.col("shift"), F.get("maps", F.lit(0))).alias("row"),
+            F.coalesce(_apply_map(F.col("row"), F.get("maps", F.lit(0))), "row").alias("row"),
             (F.locate("1", "pattern") > 0).alias("had_missing"),
             "status",
         )
