@@ -210,7 +210,12 @@ def iterative_impute(rows: DataFrame, rounds: int = 10, tol: float = 1e-3) -> Da
             }
         )
 
-    maps = spread(pattern_gram(rows), ["focal_id"]).groupBy("focal_id").applyInPandas(_isolated(solve), schema)
+    # Read by two passes below, so the small table of maps is solved and written once.
+    maps = cut(
+        spread(pattern_gram(rows), ["focal_id"])
+        .groupBy("focal_id")
+        .applyInPandas(_isolated(solve), schema)
+    )
     mapped = rows.withColumn("pattern", missing_pattern(F.col("row"))).join(
         maps, ["focal_id", "pattern"]
     )
