@@ -351,12 +351,12 @@ def filters(spark, root):
     "f12_text_helpers",
     sql="""SELECT DISTINCT entity, upper(left(list_extract(string_split(entity, '-'), -2), 4)) AS short,
         contains(entity, '-USD') AS has_usd, replace(entity, '-USD', '') AS bare
-        FROM (SELECT 'booking-' || lower(entity) || '-' || currency AS entity FROM region_panel)""",
+        FROM (SELECT 'chain-' || lower(entity) || '-' || currency AS entity FROM region_panel)""",
     uses=["region_panel"],
 )
 def text_helpers(spark, root):
     ids = A.region_panel(spark, root).select("entity", "currency").distinct()
-    e = F.concat(F.lit("booking-"), F.lower("entity"), F.lit("-"), F.col("currency"))
+    e = F.concat(F.lit("chain-"), F.lower("entity"), F.lit("-"), F.col("currency"))
     return ids.select(e.alias("entity")).select(
         "entity",
         T.short_label(F.col("entity")).alias("short"),

@@ -37,6 +37,6 @@ def test_file_name_becomes_focal(spark):
 
 def test_transposed(spark):
     path = scratch_path(spark, "t")
-    spark.createDataFrame([("A", 1.0, None)], "hotel STRING, `2024-01-01` DOUBLE, `2024-01-02` DOUBLE").write.option("header", True).csv(path)
+    spark.createDataFrame([("A", 1.0, None)], "name STRING, `2024-01-01` DOUBLE, `2024-01-02` DOUBLE").write.option("header", True).csv(path)
     got = sorted((r["entity"], str(r["obs_date"]), r["price"]) for r in io.read_transposed(spark, path).collect())
     assert got == [("A", "2024-01-01", 1.0), ("A", "2024-01-02", None)]
