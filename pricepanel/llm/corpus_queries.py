@@ -3,11 +3,56 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pricepanel.llm import packing
+from pricepanel.lineage import scratch_path
+from pricepanel.llm import decontaminate, packing, token_store
 from pricepanel.llm.registry import query, table
 
 
 @query("op10_packing")
 def op10_packing(spark: SparkSession, root: str) -> DataFrame:
     return packing.pack(table(spark, root, "documents"))
+
+
+@query("op9_token_store")
+def op9_token_store(spark: SparkSession, root: str) -> DataFrame:
+    folder = scratch_path(spark, "tokens")
+    token_store.write(table(spark, root, "documents"), folder)
+    return token_store.read(spark, folder, with_ids=False)
+
+
+_WORDS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), {u}, {l}), {p}), lambda x: x <> '')".format(
+    u="'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", l="'abcdefghijklmnopqrstuvwxyz'", p=r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+)
+_SQL_DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS ws FROM benchmark),
+p AS (SELECT DISTINCT item_id, least(len(ws), 10) AS m,
+             array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS w
+      FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+g AS (SELECT doc_id, m, i, array_to_string(ws[i:i + m - 1], ' ') AS w
+      FROM (SELECT doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) AS i
+            FROM d, (SELECT DISTINCT m FROM p) WHERE len(ws) >= m)),
+h AS (SELECT doc_id, i, m, item_id FROM g JOIN p USING (m, w)),
+c AS (SELECT doc_id, count(DISTINCT k) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + m)) AS k FROM h) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS items_sha256
+      FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
+@query("op4_decontamination", _SQL_DECONTAMINATION)
+def op4_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    found = decontaminate.find(table(spark, root, "documents"), table(spark, root, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )

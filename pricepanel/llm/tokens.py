@@ -59,6 +59,7 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         # The names of special tokens in a text are ordinary characters.
         self._tokenizer.encode_special_tokens = True
+        self.size = self._tokenizer.get_vocab_size()
         self._new: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
         # Lower-case words of letters need no normalizer and no splitting but at blanks.
