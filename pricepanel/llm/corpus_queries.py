@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricepanel.lineage import scratch_path
-from pricepanel.llm import decontaminate, packing, token_store
+from pricepanel.llm import decontaminate, packing, simhash, token_store
 from pricepanel.llm.registry import query, table
 
 
@@ -56,3 +56,9 @@ def op4_decontamination(spark: SparkSession, root: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op6_simhash")
+def op6_simhash(spark: SparkSession, root: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, root, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

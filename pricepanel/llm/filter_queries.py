@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pricepanel.llm import language
 from pricepanel.llm import line_rules as R
 from pricepanel.llm.registry import query, table
 
@@ -45,3 +47,10 @@ SELECT *, NOT base_failed AND lost_chars <= {R.MAX_LOST} * word_chars AS kept FR
 @query("op1_line_rules", _SQL_LINES)
 def op1_line_rules(spark: SparkSession, root: str) -> DataFrame:
     return R.measure(table(spark, root, "documents")).drop("clean_text")
+
+
+@query("op8_language")
+def op8_language(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    found = language.predict(docs, language.train(docs))
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
