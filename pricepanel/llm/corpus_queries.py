@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricepanel.lineage import scratch_path
-from pricepanel.llm import decontaminate, packing, simhash, token_store
+from pricepanel.llm import decontaminate, line_dedup, packing, simhash, token_store
 from pricepanel.llm.registry import query, table
 
 
@@ -62,3 +62,9 @@ def op4_decontamination(spark: SparkSession, root: str) -> DataFrame:
 def op6_simhash(spark: SparkSession, root: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, root, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op3_line_dedup")
+def op3_line_dedup(spark: SparkSession, root: str) -> DataFrame:
+    found = line_dedup.deduplicate(table(spark, root, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "text")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricepanel.llm import language
+from pricepanel.llm import credentials, language
 from pricepanel.llm import line_rules as R
 from pricepanel.llm.registry import query, table
 
@@ -54,3 +54,8 @@ def op8_language(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents")
     found = language.predict(docs, language.train(docs))
     return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
+
+
+@query("op7_credentials")
+def op7_credentials(spark: SparkSession, root: str) -> DataFrame:
+    return credentials.scan(table(spark, root, "documents"))
