@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricepanel.lineage import scratch_path
-from pricepanel.llm import decontaminate, line_dedup, packing, simhash, token_store
+from pricepanel.llm import decontaminate, line_dedup, packing, passages, simhash, templates, token_store
 from pricepanel.llm.registry import query, table
 
 
@@ -68,3 +68,13 @@ def op6_simhash(spark: SparkSession, root: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     found = line_dedup.deduplicate(table(spark, root, "documents"))
     return found.select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query("op5_site_templates")
+def op5_site_templates(spark: SparkSession, root: str) -> DataFrame:
+    return templates.extract(table(spark, root, "pages"))
+
+
+@query("op2_shared_passages")
+def op2_shared_passages(spark: SparkSession, root: str) -> DataFrame:
+    return passages.shared_passages(table(spark, root, "documents"))
