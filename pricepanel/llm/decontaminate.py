@@ -197,6 +197,19 @@ def _covered(spans: Column) -> Column:
     )
 
 
+def _blocks(items: DataFrame, item_text: str, item_id: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
+    """(id, text) of the items, in blocks that hold about ``block_bytes`` of text; one empty block if there are none."""
+    wanted = items.selectExpr(
+        f"coalesce(cast(`{item_id}` as string), '') AS item_id", f"coalesce(`{item_text}`, '') AS text"
+    )
+    size = wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_blocks = max(1, -(-size // block_bytes))
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
+    for b in range(n_blocks):
+        rows = (wanted.filter(block == b) if n_blocks > 1 else wanted).collect()
+        yield [(r["item_id"], r["text"]) for r in rows]
+
+
 def find(
     docs: DataFrame,
     items: DataFrame,
@@ -212,17 +225,8 @@ def find(
     chosen = docs.selectExpr(
         f"cast(`{id_col}` as long) AS doc_id", f"xxhash64(`{text}`) AS text_key", f"`{text}` AS text"
     )
-    wanted = items.selectExpr(
-        f"coalesce(cast(`{item_id}` as string), '') AS item_id", f"coalesce(`{item_text}`, '') AS text"
-    )
-    size = wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(1, -(-size // block_bytes))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    scans = []
-    for b in range(n_blocks):
-        rows = (wanted.filter(block == b) if n_blocks > 1 else wanted).collect()
-        scans.append(_scan(chosen, [(r["item_id"], r["text"]) for r in rows], window))
-    found = scans[0]
+    scans = [_scan(chosen, block, window) for block in _blocks(items, item_text, item_id, block_bytes)]
+    found, n_blocks = scans[0], len(scans)
     if n_blocks > 1:
         for more in scans[1:]:
             found = found.unionByName(more)
@@ -236,3 +240,38 @@ def find(
             .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
         )
     return found.select("doc_id", "n_words", _covered(F.col("spans")).alias("n_hit"), "spans", "items")
+
+
+def clean(
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    id_col: str = "doc_id",
+    item_text: str = "text",
+    item_id: str = "item_id",
+    window: int = WINDOW,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, without a passage of an item."""
+    ship(docs.sparkSession)
+    blocks = _blocks(items, item_text, item_id, block_bytes)
+    first = next(blocks)
+    if next(blocks, None) is not None:
+        # Several blocks: one pass each, and the documents that any of them names go.
+        found = find(docs, items, text, id_col, item_text, item_id, window, block_bytes)
+        gone = found.filter("n_hit > 0").select(F.col("doc_id").alias("_gone")).distinct()
+        names = docs.columns
+        inner = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+        key = F.col(f"_c{names.index(id_col)}").cast("long")
+        return inner.join(gone, key.eqNullSafe(F.col("_gone")), "left_anti").toDF(*names)
+    made: dict[str, Patterns] = {}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        patterns = made.setdefault("", Patterns(first, window))
+        for part in text_slices(batches, text):
+            words = Words(part.column(text), ALNUM, lower=True)
+            keep = np.ones(part.num_rows, bool)
+            keep[np.searchsorted(words.first, [s for s, _, _ in patterns.hits(words)], "right") - 1] = False
+            yield part.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)

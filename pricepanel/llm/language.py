@@ -229,37 +229,62 @@ _DDL = (
 )
 
 
-def _results(ids: list, held: list, letters_of: list, labels: np.ndarray, first: np.ndarray, model: Model) -> pa.RecordBatch:
-    """``letters_of``: per text, (start, end) of its words in code points."""
-    preds, scores, spans = [], [], []
-    n = len(model.languages)
-    for r, (start, end) in enumerate(letters_of):
-        mine = labels[first[r] : first[r + 1]]
-        if not len(mine):
-            preds.append("und"), scores.append(0.0), spans.append([])
-            continue
-        weight = np.bincount(mine, (end - start).astype(np.float64), minlength=n)
-        top = int(weight.argmax())
-        preds.append(model.languages[top])
-        scores.append(float(weight[top] / weight.sum()))
-        cuts = np.flatnonzero(np.diff(mine)) + 1
-        begins, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(mine)]]) - 1
-        spans.append(
-            [
-                {"start": s, "end": e, "lang": model.languages[m]}
-                for s, e, m in zip(start[begins].tolist(), end[ends].tolist(), mine[begins].tolist())
-            ]
-        )
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(ids, pa.int64()),
-            pa.array(held, pa.bool_()),
-            pa.array(preds, pa.string()),
-            pa.array(scores, pa.float64()),
-            pa.array(spans, pa.list_(_SPAN)),
-        ],
-        names=["doc_id", "held_out", "lang_pred", "score", "spans"],
-    )
+def _labelled(start: np.ndarray, end: np.ndarray, labels: np.ndarray, names: list[str]) -> tuple[str, float, list]:
+    """(prediction, score, spans) of one text from its words and their labels."""
+    if not len(labels):
+        return "und", 0.0, []
+    weight = np.bincount(labels, (end - start).astype(np.float64), minlength=len(names))
+    top = int(weight.argmax())
+    cuts = np.flatnonzero(np.diff(labels)) + 1
+    begins, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(labels)]]) - 1
+    spans = [
+        {"start": s, "end": e, "lang": names[m]}
+        for s, e, m in zip(start[begins].tolist(), end[ends].tolist(), labels[begins].tolist())
+    ]
+    return names[top], float(weight[top] / weight.sum()), spans
+
+
+def _predicted(
+    batches: Iterator[pa.RecordBatch], text: str, model: Model, switch: float
+) -> Iterator[tuple[pa.Table, list[tuple[str, float, list]]]]:
+    """Rows, and (prediction, score, spans) of each; long texts come in tables of their own."""
+    pool: list[tuple] = []
+    pooled = 0
+
+    def walk(rows: pa.Table, items: list[tuple]):
+        first = np.concatenate([[0], np.cumsum([len(scores) for _, _, scores in items])]).astype(np.int64)
+        labels = viterbi(np.concatenate([scores for _, _, scores in items]), first, switch)
+        return rows, [
+            _labelled(start, end, labels[a:b], model.languages)
+            for (start, end, _), a, b in zip(items, first, first[1:])
+        ]
+
+    def drain():
+        return walk(pa.concat_tables(row for row, _ in pool), [item for _, item in pool])
+
+    for part in text_slices(batches, text):
+        letters = Letters(part.column(text).to_pylist())
+        scores = word_scores(letters, model)
+        first = letters.first if model.languages else np.zeros_like(letters.first)
+        short, items = [], []
+        for r in range(part.num_rows):
+            a, b = first[r], first[r + 1]
+            item = (letters.start[a:b] - letters.offsets[r], letters.end[a:b] - letters.offsets[r], scores[a:b])
+            if b - a <= LONG_WORDS:
+                short.append(r)
+                items.append(item)
+            else:
+                # Copies, so that the slice can go.
+                row = pa.Table.from_batches([part.slice(r, 1)]).take(pa.array([0]))
+                pool.append((row, tuple(x.copy() for x in item)))
+                pooled += item[2].size
+        if short:
+            yield walk(pa.Table.from_batches([part]).take(pa.array(short)), items)
+        if pooled > POOL_SCORES:
+            yield drain()
+            pool, pooled = [], 0
+    if pool:
+        yield drain()
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", id_col: str = "doc_id", switch: float = SWITCH) -> DataFrame:
@@ -271,36 +296,24 @@ def predict(docs: DataFrame, model: Model, text: str = "text", id_col: str = "do
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        pool: list[tuple] = []
-        pooled = 0
+        for rows, found in _predicted(batches, "text", shared.value, switch):
+            made = rows.select(["doc_id", "held_out"])
+            made = made.append_column("lang_pred", pa.array([x[0] for x in found], pa.string()))
+            made = made.append_column("score", pa.array([x[1] for x in found], pa.float64()))
+            made = made.append_column("spans", pa.array([x[2] for x in found], pa.list_(_SPAN)))
+            yield from made.to_batches()
 
-        def drain(items: list[tuple]) -> pa.RecordBatch:
-            counts = [len(s) for _, _, _, s in items]
-            first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-            scores = np.concatenate([s for _, _, _, s in items])
-            return _results([i[0] for i in items], [i[1] for i in items], [i[2] for i in items], viterbi(scores, first, switch), first, model)
+    return chosen.mapInArrow(run, _DDL)
 
-        for part in text_slices(batches):
-            letters = Letters(part.column("text").to_pylist())
-            scores = word_scores(letters, model)
-            if not model.languages:
-                letters.first = np.zeros_like(letters.first)
-            short = []
-            for r, (doc_id, held) in enumerate(zip(part.column("doc_id").to_pylist(), part.column("held_out").to_pylist())):
-                a, b = letters.first[r], letters.first[r + 1]
-                place = (letters.start[a:b] - letters.offsets[r], letters.end[a:b] - letters.offsets[r])
-                if b - a <= LONG_WORDS:
-                    short.append((doc_id, held, place, scores[a:b]))
-                else:
-                    pool.append((doc_id, held, tuple(x.copy() for x in place), scores[a:b].copy()))
-                    pooled += scores[a:b].size
-            if short:
-                yield drain(short)
-            if pooled > POOL_SCORES:
-                yield drain(pool)
-                pool, pooled = [], 0
-        if pool:
-            yield drain(pool)
 
-    return chosen.mapInArrow(run, _DDL)
+def accepted(docs: DataFrame, model: Model, min_score: float, text: str = "text", switch: float = SWITCH) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is mostly in one known language."""
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, found in _predicted(batches, text, shared.value, switch):
+            keep = [name != "und" and score >= min_score for name, score, _ in found]
+            yield from rows.filter(pa.array(keep, pa.bool_())).to_batches()
+
+    return docs.mapInArrow(run, docs.schema)

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricepanel.lineage import cut, ship
 from pricepanel.llm.columns import VISIBLE, Runs, Words, mix, text_slices
@@ -212,31 +213,46 @@ def removed_lines(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -
     return gone.groupBy("doc_id").agg(F.collect_set("line").alias("removed"))
 
 
-def deduplicate(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with ``text`` less the removed lines; adds n_lines and n_removed (lines with a word)."""
-    removed = removed_lines(docs, text, id_col).withColumnRenamed("doc_id", "_key")
-    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID))
-    joined = docs.select("*", key.alias("_doc")).join(removed, F.col("_doc") == F.col("_key"), "left")
-    columns = [c for c in docs.columns if c not in (text, "n_lines", "n_removed")]
-    field = next(f for f in docs.schema if f.name == text)
+def deduplicate(
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", counts: bool = True, keep_emptied: bool = True
+) -> DataFrame:
+    """``docs`` with ``text`` less the removed lines.
+
+    With ``counts``, n_lines and n_removed (lines with a word) are added, in
+    place of columns of those names; without ``keep_emptied``, documents that
+    lost every line with a word are left out.
+    """
+    names = docs.columns
+    inner = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    body, key = f"_c{names.index(text)}", f"_c{names.index(id_col)}"
+    removed = removed_lines(docs, text, id_col).select(F.col("doc_id").alias("_key"), F.col("removed").alias("_gone"))
+    joined = inner.join(
+        removed, F.coalesce(F.col(key).cast("long"), F.lit(_NULL_ID)) == F.col("_key"), "left"
+    ).drop("_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, text):
+        for part in text_slices(batches, body):
             texts, total, lost = [], [], []
-            for body, gone in zip(part.column(text).to_pylist(), part.column("removed").to_pylist()):
-                lines = (body or "").split("\n")
+            for one, gone in zip(part.column(body).to_pylist(), part.column("_gone").to_pylist()):
+                lines = (one or "").split("\n")
                 total.append(sum(1 for s in lines if _split(s)))
                 lost.append(len(gone or ()))
                 if gone:
                     out = set(gone)
-                    body = "\n".join(s for i, s in enumerate(lines) if i not in out)
-                texts.append(body)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(c) for c in columns]
-                + [pa.array(texts, part.column(text).type), pa.array(total, pa.int64()), pa.array(lost, pa.int64())],
-                names=[*columns, text, "n_lines", "n_removed"],
+                    one = "\n".join(s for i, s in enumerate(lines) if i not in out)
+                texts.append(one)
+            columns = [part.column(c) for c in inner.columns]
+            columns[names.index(text)] = pa.array(texts, part.column(body).type)
+            made = pa.RecordBatch.from_arrays(
+                [*columns, pa.array(total, pa.int64()), pa.array(lost, pa.int64())],
+                names=[*inner.columns, "_n_lines", "_n_removed"],
             )
-
-    schema = docs.select(*[f"`{c}`" for c in columns]).schema
-    schema = schema.add(field).add("n_lines", "long").add("n_removed", "long")
-    return joined.select(*[f"`{c}`" for c in columns], f"`{text}`", "removed").mapInArrow(run, schema)
+            if not keep_emptied:
+                made = made.filter(pa.array([n == 0 or n > k for n, k in zip(total, lost)], pa.bool_()))
+            yield made
+
+    schema = T.StructType([*inner.schema.fields, T.StructField("_n_lines", T.LongType()), T.StructField("_n_removed", T.LongType())])
+    out = joined.mapInArrow(run, schema)
+    kept = [(f"_c{i}", n) for i, n in enumerate(names) if not counts or n not in ("n_lines", "n_removed")]
+    kept += [("_n_lines", "n_lines"), ("_n_removed", "n_removed")] if counts else []
+    return out.select(*[F.col(a).alias(b) for a, b in kept])

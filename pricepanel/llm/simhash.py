@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricepanel.lineage import cut, ship
@@ -139,3 +139,23 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     return found.join(classes, found["fp"] == classes["_fp"], "left").select(
         "doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("_class")).alias("component_id")
     )
+
+
+def representatives(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """One row of ``docs`` for each component, that of its least id; rows without an id all stay."""
+    names = docs.columns
+    inner = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    body, key = F.col(f"_c{names.index(text)}"), F.col(f"_c{names.index(id_col)}").cast("long")
+    found = near_duplicates(docs, text, id_col)
+    kept = found.filter("component_id = doc_id").select(F.col("doc_id").alias("_kept")).distinct()
+    # Rows of one id are one document: the one with the least hash of its text stands for them.
+    first = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64(body)))
+    rows = inner.select("*", key.alias("_id"))
+    chosen = (
+        rows.filter("_id IS NOT NULL")
+        .join(kept, F.col("_id") == F.col("_kept"), "left_semi")
+        .withColumn("_row", first)
+        .filter("_row = 1")
+        .drop("_row")
+    )
+    return chosen.unionByName(rows.filter("_id IS NULL")).drop("_id").toDF(*names)
