@@ -224,6 +224,7 @@ def deduplicate(
     """
     names = docs.columns
     inner = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    columns_in = inner.columns
     body, key = f"_c{names.index(text)}", f"_c{names.index(id_col)}"
     removed = removed_lines(docs, text, id_col).select(F.col("doc_id").alias("_key"), F.col("removed").alias("_gone"))
     joined = inner.join(
@@ -241,11 +242,11 @@ def deduplicate(
                     out = set(gone)
                     one = "\n".join(s for i, s in enumerate(lines) if i not in out)
                 texts.append(one)
-            columns = [part.column(c) for c in inner.columns]
+            columns = [part.column(c) for c in columns_in]
             columns[names.index(text)] = pa.array(texts, part.column(body).type)
             made = pa.RecordBatch.from_arrays(
                 [*columns, pa.array(total, pa.int64()), pa.array(lost, pa.int64())],
-                names=[*inner.columns, "_n_lines", "_n_removed"],
+                names=[*columns_in, "_n_lines", "_n_removed"],
             )
             if not keep_emptied:
                 made = made.filter(pa.array([n == 0 or n > k for n, k in zip(total, lost)], pa.bool_()))
