@@ -221,11 +221,16 @@ def find(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row per document: n_words, n_hit, hit ``spans`` (word ranges), ``items`` (sorted ids)."""
+    blocks = list(_blocks(items, item_text, item_id, block_bytes))
+    return _found(docs, blocks, text, id_col, window).drop("text_key")
+
+
+def _found(docs: DataFrame, blocks: list[list[tuple[str, str]]], text: str, id_col: str, window: int) -> DataFrame:
     ship(docs.sparkSession)
     chosen = docs.selectExpr(
         f"cast(`{id_col}` as long) AS doc_id", f"xxhash64(`{text}`) AS text_key", f"`{text}` AS text"
     )
-    scans = [_scan(chosen, block, window) for block in _blocks(items, item_text, item_id, block_bytes)]
+    scans = [_scan(chosen, block, window) for block in blocks]
     found, n_blocks = scans[0], len(scans)
     if n_blocks > 1:
         for more in scans[1:]:
@@ -239,7 +244,7 @@ def find(
             )
             .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
         )
-    return found.select("doc_id", "n_words", _covered(F.col("spans")).alias("n_hit"), "spans", "items")
+    return found.select("doc_id", "text_key", "n_words", _covered(F.col("spans")).alias("n_hit"), "spans", "items")
 
 
 def clean(
@@ -254,16 +259,17 @@ def clean(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, without a passage of an item."""
     ship(docs.sparkSession)
-    blocks = _blocks(items, item_text, item_id, block_bytes)
-    first = next(blocks)
-    if next(blocks, None) is not None:
-        # Several blocks: one pass each, and the documents that any of them names go.
-        found = find(docs, items, text, id_col, item_text, item_id, window, block_bytes)
-        gone = found.filter("n_hit > 0").select(F.col("doc_id").alias("_gone")).distinct()
+    blocks = list(_blocks(items, item_text, item_id, block_bytes))
+    first = blocks[0]
+    if len(blocks) > 1:
+        # One pass each, and the rows that any of them names go.
+        found = _found(docs, blocks, text, id_col, window).filter("n_hit > 0")
+        gone = found.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_text")).distinct()
         names = docs.columns
         inner = docs.toDF(*[f"_c{i}" for i in range(len(names))])
-        key = F.col(f"_c{names.index(id_col)}").cast("long")
-        return inner.join(gone, key.eqNullSafe(F.col("_gone")), "left_anti").toDF(*names)
+        key, body = F.col(f"_c{names.index(id_col)}").cast("long"), F.col(f"_c{names.index(text)}")
+        same = key.eqNullSafe(F.col("_doc")) & (F.xxhash64(body) == F.col("_text"))
+        return inner.join(gone, same, "left_anti").toDF(*names)
     made: dict[str, Patterns] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,0 +1,221 @@
+"""Operators that judge one document at a time: line rules, decontamination, credentials, packing, token store."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import corpus
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from pricepanel.llm import credentials, decontaminate, line_rules, packing, token_store, tokens
+
+
+def by_row(df, *columns):
+    return Counter(tuple(r[c] for c in columns) for r in df.collect())
+
+
+def test_line_rules_base_metrics(spark):
+    def expected(doc_id, text):
+        text = text or ""
+        words = corpus.VISIBLE.findall(text)
+        grams = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+        covered = {j for i in range(len(words) - 7) if grams[tuple(words[i : i + 8])] > 1 for j in range(i, i + 8)}
+        lines = [s for s in text.split("\n") if corpus.VISIBLE.search(s)]
+        return (
+            doc_id,
+            len(words),
+            sum(map(len, words)),
+            len(re.findall(r"[#*$%&|<>]", text)),
+            len(lines) - len(set(lines)),
+            len(covered),
+            len(words) < 20 or 100 * len(covered) > 30 * len(words),
+        )
+
+    found = line_rules.measure(corpus.messy(spark))
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    assert by_row(found, *names) == Counter(expected(r[0], r[1]) for r in corpus.messy_rows())
+    assert line_rules.measure(corpus.none(spark)).count() == 0
+
+
+def test_line_rules_remove_lines_then_judge(spark):
+    rng = random.Random(1)
+    good = corpus.prose(rng, 60)
+    texts = [
+        good,
+        good + "\nHome | News | Sport | Contact us\nAll rights reserved.\n### $$$ %%% &&&",
+        "Home | News | Sport | More | Contact | Jobs | Login\n" * 9 + "One good sentence of a few words.",
+        "ONE!! TWO!! THREE!! FOUR!! FIVE!! SIX!! SEVEN!! EIGHT!! NINE!! TEN!! AND!! MORE!! OF!! IT!! ALL!! NOW!! " * 3,
+        good + "\n" + "no stop in a very long line of words that goes on and on without any end",
+    ]
+    rows = {r["doc_id"]: r for r in line_rules.measure(corpus.plain(spark, texts)).collect()}
+    assert rows[0]["kept"] and rows[0]["clean_text"] == good
+    assert rows[1]["kept"] and rows[1]["clean_text"] == good and rows[1]["n_lines_removed"] == 3
+    assert not rows[2]["kept"] and not rows[3]["kept"]
+    assert rows[4]["clean_text"] == good
+
+
+def decontamination(docs, items, window=10):
+    words = {i: corpus.ALNUM.findall(corpus.fold(t)) for i, t in items}
+    patterns = defaultdict(set)
+    for item, ws in words.items():
+        m = min(len(ws), window)
+        for i in range(len(ws) - m + 1):
+            if m:
+                patterns[tuple(ws[i : i + m])].add(item)
+    sizes = {len(p) for p in patterns}
+    out = []
+    for doc_id, text in docs:
+        ws = corpus.ALNUM.findall(corpus.fold(text))
+        hit, found = set(), set()
+        for m in sizes:
+            for i in range(len(ws) - m + 1):
+                owners = patterns.get(tuple(ws[i : i + m]))
+                if owners:
+                    hit |= set(range(i, i + m))
+                    found |= owners
+        out.append((doc_id, len(ws), len(hit), tuple(sorted(found))))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 200])
+def test_decontamination(spark, block_bytes):
+    rows = corpus.messy_rows()
+    long = corpus.ALNUM.findall(corpus.fold(rows[17][1]))
+    items = [
+        ("a", " ".join(long[29_000:29_040])),
+        ("b", "SAME, same! same same; same"),
+        ("c", " ".join(long[5:15]) + " other words"),
+        ("d", rows[2][1][40:400]),
+        ("e", ""),
+        ("f", None),
+        ("g", "two texts"),
+        ("h", " ".join(long[29_020:29_060])),
+    ]
+    bench = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id string, text string, spans int")
+    found = decontaminate.find(corpus.messy(spark), bench, block_bytes=block_bytes)
+    got = Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"])) for r in found.collect())
+    want = decontamination([r[:2] for r in rows], [(i, t or "") for i, t in items])
+    assert got == want
+    kept = decontaminate.clean(corpus.messy(spark), bench, block_bytes=block_bytes)
+    assert kept.schema == corpus.SCHEMA
+    clean = [r[:2] for r in rows if not next(k[2] for k in decontamination([r[:2]], [(i, t or "") for i, t in items]))]
+    assert by_row(kept, "doc_id", "text") == Counter(clean)
+    empty = decontaminate.find(corpus.messy(spark), bench.limit(0))
+    assert {r["n_hit"] for r in empty.collect()} == {0}
+    assert decontaminate.find(corpus.none(spark), bench, block_bytes=block_bytes).count() == 0
+
+
+def test_credentials_base_is_that_of_the_plain_patterns(spark):
+    rng = random.Random(3)
+    bits = ["password", "Token", "api_key", "apikey", "=", ":", " ", '"', "'", "abc", "secret", "AKIA", "ABCDEFGH01234567", "0123456789abcdef", "deadbeefdeadbeef", "é", "-", "ſecret", "K"]
+    texts = ["".join(rng.choice(bits) for _ in range(60)) for _ in range(200)] + [r[1] for r in corpus.messy_rows()]
+
+    def expected(text):
+        found = [("assign", m) for m in credentials.ASSIGN.finditer(text) if len(m[2]) >= 6]
+        found += [("access", m) for m in credentials.ACCESS.finditer(text) if len(m[0]) >= 20]
+        found += [("hex", m) for m in credentials.HEX.finditer(text) if len(m[0]) >= 24]
+        order = ["assign", "access", "hex"]
+        found.sort(key=lambda x: (x[1].start(), order.index(x[0])))
+        joined = ",".join(f"{k}:{m.start()}:{m.end()}" for k, m in found)
+        counts = Counter(k for k, _ in found)
+        return (*[counts[k] for k in order], hashlib.sha256(joined.encode()).hexdigest())
+
+    found = credentials.scan(corpus.plain(spark, texts))
+    got = {r["doc_id"]: (r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) for r in found.collect()}
+    assert got == {i: expected(t or "") for i, t in enumerate(texts)}
+    assert credentials.scan(corpus.none(spark)).count() == 0
+    assert credentials.scan(corpus.messy(spark)).count() == len(corpus.messy_rows())
+
+
+def test_credentials_link_weak_parts_only_with_their_complement():
+    weak = "key aB3dE5gH7jK9mN1pQ3sT5"
+    name, url = "client_id=abc123", "https://db.example.org/x"
+    link = lambda t: [k for k, _, _ in credentials.linked_spans(t, credentials.base_spans(t))]
+    assert link(f"{name} {weak} {url}") == ["identifier", "weak_secret", "endpoint"]
+    assert link(f"{weak} {url}") == [] and link(f"{name} {url}") == []
+    assert link(f"{name} {'word ' * 100}{weak}") == []
+    assert link(f"{name} password=hunter2x {url}") == ["identifier", "endpoint"]
+    many = f"{name} {weak}\n" * 20_000
+    assert len(link(many)) == 40_000
+
+
+def whole(texts):
+    reference = Tokenizer.from_file(tokens.default_path())
+    reference.encode_special_tokens = True
+    return [reference.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_piecewise_ids_are_those_of_the_whole_text():
+    texts = [r[1] for r in corpus.messy_rows()] + ["It's we'll 'S 's", "ΟΔΟΣ ὈΔΥΣΣΕΎΣ", "J̌ ǰ", "<|endoftext|> a<|startoftext|>b", "한국어 한 日本語", "a̸= ≮ x≠y"]
+    encoder = tokens.Encoder(tokens.default_path())
+    for _ in range(2):
+        assert [x.tolist() for x in encoder.ids(texts)] == whole(texts)
+
+
+def test_packing_is_exact_and_fills_windows(spark):
+    rows = corpus.messy_rows()
+    found = packing.pack(corpus.messy(spark), window=256).collect()
+    want = Counter((r[0], tuple(ids) + (2,)) for r, ids in zip(rows, whole([r[1] for r in rows])))
+    # Pieces of rows that share an id are told apart by their place: rebuild greedily by (doc, total).
+    total = Counter((r["doc_id"], r["doc_tokens"]) for r in found for _ in range(r["length"]))
+    assert total == Counter({(d, len(t)): 0 for d, t in want} | Counter((d, len(t)) for d, t in want.elements() for _ in t))
+    crc = {(d, len(t)): t for d, t in want}
+    windows = defaultdict(list)
+    for r in found:
+        ids = np.array(crc[r["doc_id"], r["doc_tokens"]][r["start"] : r["start"] + r["length"]])
+        if (r["doc_id"], r["doc_tokens"]) not in {(None, 1)}:
+            assert r["ids_crc32"] == tokens.crc32(ids)
+        windows[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in windows.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at == 256 or at & (at - 1) == 0
+    assert packing.pack(corpus.none(spark)).count() == 0
+
+
+def test_levels_choose_the_least_sum_of_squares():
+    rng = random.Random(2)
+    levels = packing.Levels(16)
+    for _ in range(300):
+        item = rng.randint(1, 15)
+        level = levels.choose(item)
+
+        def after(h):
+            count = levels.count.copy()
+            if h:
+                count[h] -= 1
+            if h + item < 16:
+                count[h + item] += 1
+            return int((count[1:16] ** 2).sum())
+
+        allowed = [h for h in range(17 - item) if h == 0 or levels.count[h]]
+        assert after(level) == min(map(after, allowed))
+        levels.take(level)
+        if level + item < 16:
+            levels.put(level + item, [])
+
+
+def test_token_store_round_trip(spark, tmp_path):
+    rows = corpus.messy_rows()
+    folder = f"file://{tmp_path}/store"
+    token_store.write(corpus.messy(spark), folder)
+    found = token_store.read(spark, folder).orderBy("start").collect()
+    ids = dict(zip(((r[0], r[1]) for r in rows), whole([r[1] for r in rows])))
+    want = Counter((d, tuple(x) + (1,)) for (d, t), x in ids.items() for _ in range(sum(r[:2] == (d, t) for r in rows)))
+    assert Counter((r["doc_id"], tuple(r["ids"])) for r in found) == want
+    start = 0
+    for r in found:
+        assert r["start"] == start and r["n_tokens"] == len(r["ids"])
+        assert r["ids_crc32"] == tokens.crc32(np.array(r["ids"]))
+        start += r["n_tokens"]
+    order = [r["doc_id"] for r in found]
+    assert order == sorted(order, key=lambda d: (d is not None, d))
+    some = token_store.read(spark, folder, [3, 12]).collect()
+    assert Counter((r["doc_id"], r["start"]) for r in some) == Counter((r["doc_id"], r["start"]) for r in found if r["doc_id"] in (3, 12))
+    token_store.write(corpus.none(spark), f"{folder}-empty")
+    assert token_store.read(spark, f"{folder}-empty").count() == 0
