@@ -235,11 +235,11 @@ def deduplicate(
         for part in text_slices(batches, body):
             texts, total, lost = [], [], []
             for one, gone in zip(part.column(body).to_pylist(), part.column("_gone").to_pylist()):
-                lines = (one or "").split("\n")
-                total.append(sum(1 for s in lines if _split(s)))
-                lost.append(len(gone or ()))
-                if gone:
-                    out = set(gone)
+                lines, out = (one or "").split("\n"), set(gone or ())
+                worded = [i for i, s in enumerate(lines) if _split(s)]
+                total.append(len(worded))
+                lost.append(sum(1 for i in worded if i in out))
+                if out and one is not None:
                     one = "\n".join(s for i, s in enumerate(lines) if i not in out)
                 texts.append(one)
             columns = [part.column(c) for c in columns_in]
