@@ -70,6 +70,8 @@ LIMITS = {
     "th": {"table"},
     "option": {"select"},
 }
+_LIMITS = {tag: LIMITS.get(tag, BLOCK - {tag}) for tag in ENDS}
+_ENDED_BY = {name: [tag for tag in ENDS if name in ENDS[tag]] for name in BLOCK | {"option"}}
 #: Elements that are no part of an article's text.
 DROPPED = (RAW | set(
     "head nav footer aside form button select dialog menu svg math canvas audio video object map search datalist".split()
@@ -136,6 +138,18 @@ def parse(page: str) -> Element:
     """The element tree of a page; script and style contents are left out."""
     root = node = Element("", None)
     at, articles = 0, 0
+    # Open elements by tag, so that a tag without a counterpart costs no walk up the tree.
+    count: dict[str, int] = {}
+
+    def close(last: Element) -> None:
+        nonlocal node, articles
+        while True:
+            articles -= node.content
+            count[node.tag] -= 1
+            done, node = node is last, node.parent
+            if done:
+                return
+
     while True:
         token = _TOKEN.search(page, at)
         if token is None:
@@ -148,25 +162,19 @@ def parse(page: str) -> Element:
             continue
         name = name.lower()
         if token[1]:
-            top = node
-            while top is not root and top.tag != name:
-                top = top.parent
-            if top is not root:
-                while node is not top.parent:
-                    articles -= node.content
-                    node = node.parent
-            elif name == "p":
-                node.children.append(Element("p", node))
-            continue
-        for tag, starts in ENDS.items():
-            if name in starts:
+            if count.get(name):
                 top = node
-                while top is not root and top.tag != tag and top.tag not in LIMITS.get(tag, BLOCK - {tag}):
+                while top.tag != name:
+                    top = top.parent
+                close(top)
+            continue
+        for tag in _ENDED_BY.get(name, ()):
+            if count.get(tag):
+                top, limits = node, _LIMITS[tag]
+                while top is not root and top.tag != tag and top.tag not in limits:
                     top = top.parent
                 if top.tag == tag:
-                    while node is not top.parent:
-                        articles -= node.content
-                        node = node.parent
+                    close(top)
         attributes = token[3]
         made = Element(name, node, _dropped(name, attributes, articles > 0), name in CONTENT)
         node.children.append(made)
@@ -176,6 +184,7 @@ def parse(page: str) -> Element:
         elif name not in VOID and not attributes.endswith("/"):
             node = made
             articles += made.content
+            count[name] = count.get(name, 0) + 1
     if at < len(page):
         node.children.append(page[at:])
     return root
