@@ -83,8 +83,11 @@ def train(docs: DataFrame, path: str, width: int) -> bytes:
                 made = b"".join(samples)[:DICTIONARY_BYTES]
             yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["dictionary"])
 
+    # Only rows whose hash is low enough to be among the lowest take part, however many tasks there are.
+    share = min(1.0, 4 * SAMPLE_ROWS / max(docs.count(), 1))
+    bound = int((share - 0.5) * 2**64) - 1
     sample = (
-        docs.filter(F.length("text") <= SAMPLE_CHARS)
+        docs.filter((F.xxhash64("doc_id") <= bound) & (F.length("text") <= SAMPLE_CHARS))
         .orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
         .limit(SAMPLE_ROWS)
     )
