@@ -66,7 +66,7 @@ def op6_simhash(spark: SparkSession, root: str) -> DataFrame:
 
 @query("op3_line_dedup")
 def op3_line_dedup(spark: SparkSession, root: str) -> DataFrame:
-    found = line_dedup.deduplicate(table(spark, root, "documents"))
+    found = line_dedup.deduplicate(table(spark, root, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_removed", "text")
 
 

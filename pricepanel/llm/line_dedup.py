@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricepanel.lineage import cut, ship
+from pricepanel.lineage import ship
+from pricepanel.llm.registry import saved
 from pricepanel.llm.columns import VISIBLE, Runs, Words, mix, text_slices
 
 #: Lines of fewer words must be equal; one edit in so many words is a similarity of 0.8.
@@ -89,12 +90,12 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, line int, h long, ends array<long>")
 
 
-def _variants(rows: DataFrame) -> DataFrame:
+def _variants(rows: DataFrame, text: str) -> DataFrame:
     """From (text, doc_id, wanted: lines and hashes): keys of each wanted line and of it without each word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
-            lines = Lines(part.column("text"))
+        for part in text_slices(batches, text):
+            lines = Lines(part.column(text))
             wanted = [{(w["line"], w["h"]) for w in row} for row in part.column("wanted").to_pylist()]
             keep = np.array(
                 [
@@ -113,8 +114,8 @@ def _variants(rows: DataFrame) -> DataFrame:
             key = np.concatenate([lines.hash[keep], without.view(np.int64)])
             ids = part.column("doc_id").take(pa.array(lines.row[keep]))
             data, words = lines.words.bytes, lines.words
-            text = [data[words.start[s] : words.end[e - 1]].tobytes().decode() for s, e in zip(start, end)]
-            texts = pa.array(text + [None] * (len(owner) - len(text)), pa.string())
+            whole = [data[words.start[s] : words.end[e - 1]].tobytes().decode() for s, e in zip(start, end)]
+            texts = pa.array(whole + [None] * (len(owner) - len(whole)), pa.string())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(key),
@@ -161,56 +162,85 @@ def _split(line: str) -> list[str]:
     return [w for w in line.split(" ") if w]
 
 
-def _near(docs: DataFrame, lines: DataFrame) -> DataFrame:
+def _near(base: DataFrame, text: str, lines: DataFrame) -> DataFrame:
     """Hashes (h) of lines whose first occurrence has an earlier line one edit away."""
-    ends = lines.select("h", F.explode("ends").alias("end"))
+    ends = lines.select("h", "doc_id", "line", F.explode("ends").alias("end"))
     shared = ends.groupBy("end").agg(F.count("*").alias("n")).filter("n > 1").select("end")
-    candidates = ends.join(shared, "end", "left_semi").select("h").distinct()
     wanted = (
-        lines.join(candidates, "h", "left_semi")
+        ends.join(shared, "end", "left_semi")
         .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("line", "h")).alias("wanted"))
+        .agg(F.collect_set(F.struct("line", "h")).alias("wanted"))
     )
-    variants = cut(_variants(docs.join(wanted, "doc_id")))
+    every = _variants(base.join(wanted, F.col("_doc") == F.col("doc_id")), text)
+    counted = every.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    variants = every.select("key", "position", "doc_id", "line", "h").join(counted, "key", "left_semi")
     order = F.struct("doc_id", "line", "h")
-    best = variants.groupBy("key", "position").agg(F.min(order).alias("best"))
-    # Of a key: the line itself, and the earliest line that it is left of.
-    by_key = best.groupBy("key").agg(
-        F.min(F.when(F.col("position") < 0, F.col("best"))).alias("itself"),
-        F.min(F.when(F.col("position") >= 0, F.col("best"))).alias("longer"),
+    # Of a key: the line itself, the earliest line that it is left of, and that by place of the word left out;
+    # the places are those of one line's words.
+    by_key = (
+        variants.groupBy("key", "position")
+        .agg(F.min(order).alias("best"))
+        .groupBy("key")
+        .agg(
+            F.min(F.when(F.col("position") < 0, F.col("best"))).alias("itself"),
+            F.min(F.when(F.col("position") >= 0, F.col("best"))).alias("longer"),
+            F.collect_list(F.struct("position", "best")).alias("places"),
+        )
     )
-    rival = F.when(F.col("position") < 0, F.col("longer")).otherwise(F.least("best", "itself"))
-    rivals = best.join(by_key, "key").select("key", "position", rival.alias("rival"))
+    place = F.filter("places", lambda p: p["position"] == F.col("position"))[0]["best"]
+    rival = F.when(F.col("position") < 0, F.col("longer")).otherwise(F.least(place, F.col("itself")))
+    before = F.struct("rival.doc_id", "rival.line") < F.struct("own.doc_id", "own.line")
     earlier = (
         variants.select("key", "position", order.alias("own"))
-        .join(rivals, ["key", "position"])
-        .filter((F.col("rival.doc_id") < F.col("own.doc_id")) | ((F.col("rival.doc_id") == F.col("own.doc_id")) & (F.col("rival.line") < F.col("own.line"))))
+        .join(by_key, "key")
+        .select("own", rival.alias("rival"))
+        .filter(before)
         .groupBy(F.col("own.h").alias("h"))
         .agg(F.min("rival").alias("rival"))
         .select("h", F.col("rival.h").alias("other"))
     )
-    texts = variants.filter("position < 0").groupBy("h").agg(F.first("line_text").alias("line_text"))
+    texts = every.filter("position < 0").groupBy("h").agg(F.first("line_text").alias("line_text"))
     others = texts.select(F.col("h").alias("other"), F.col("line_text").alias("other_text"))
     return _checked(earlier.join(texts, "h").join(others, "other"))
 
 
-def removed_lines(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, removed): numbers, from 0, of the lines that go; documents that keep all lines are not listed."""
-    ship(docs.sparkSession)
-    chosen = _table(docs, text, id_col)
-    lines = cut(_lines(chosen))
-    first = cut(
+def _keyed(docs: DataFrame, text: str, id_col: str) -> tuple[DataFrame, str]:
+    """``docs`` as columns _c0, _c1 ... and _doc, dealt by _doc; the name that its text has there.
+
+    Texts are needed twice by document: for the lines that may have partners,
+    and for the lines that stay.  Both read this one exchange.
+    """
+    names = docs.columns
+    inner = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    key = F.coalesce(F.col(f"_c{names.index(id_col)}").cast("long"), F.lit(_NULL_ID))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return inner.withColumn("_doc", key).repartition(parts, "_doc"), f"_c{names.index(text)}"
+
+
+def _removed(docs: DataFrame, base: DataFrame, body: str, text: str, id_col: str) -> DataFrame:
+    lines = saved(_lines(_table(docs, text, id_col)), "lines")
+    first = saved(
         lines.groupBy("h").agg(
             F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"), F.first("ends").alias("ends")
-        )
+        ),
+        "distinct-lines",
     )
     firsts = first.select("h", "first.doc_id", "first.line", "ends").filter(F.size("ends") > 0)
-    near = _near(chosen, firsts).withColumn("near", F.lit(True))
+    near = _near(base, body, firsts).withColumn("near", F.lit(True))
     marked = first.drop("ends").join(near, "h", "left").filter("n > 1 OR near").select("h", "first", "near")
-    gone = lines.select("doc_id", "line", "h").join(marked, "h").filter(
-        F.col("near") | (F.struct("doc_id", "line") > F.col("first"))
+    gone = (
+        lines.select("doc_id", "line", "h")
+        .join(marked, "h")
+        .filter(F.col("near") | (F.struct("doc_id", "line") > F.col("first")))
     )
-    return gone.groupBy("doc_id").agg(F.collect_set("line").alias("removed"))
+    return gone.groupBy(F.col("doc_id").alias("_key")).agg(F.collect_set("line").alias("_gone"))
+
+
+def removed_lines(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, removed): numbers, from 0, of the lines that go; documents that keep all lines are not listed."""
+    ship(docs.sparkSession)
+    found = _removed(docs, *_keyed(docs, text, id_col), text, id_col)
+    return found.select(F.col("_key").alias("doc_id"), F.col("_gone").alias("removed"))
 
 
 def deduplicate(
@@ -222,14 +252,13 @@ def deduplicate(
     place of columns of those names; without ``keep_emptied``, documents that
     lost every line with a word are left out.
     """
+    ship(docs.sparkSession)
     names = docs.columns
-    inner = docs.toDF(*[f"_c{i}" for i in range(len(names))])
-    columns_in = inner.columns
-    body, key = f"_c{names.index(text)}", f"_c{names.index(id_col)}"
-    removed = removed_lines(docs, text, id_col).select(F.col("doc_id").alias("_key"), F.col("removed").alias("_gone"))
-    joined = inner.join(
-        removed, F.coalesce(F.col(key).cast("long"), F.lit(_NULL_ID)) == F.col("_key"), "left"
-    ).drop("_key")
+    base, body = _keyed(docs, text, id_col)
+    fields = base.drop("_doc").schema.fields
+    columns_in = [f.name for f in fields]
+    removed = _removed(docs, base, body, text, id_col)
+    joined = base.join(removed, F.col("_doc") == F.col("_key"), "left").drop("_key", "_doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, body):
@@ -252,7 +281,7 @@ def deduplicate(
                 made = made.filter(pa.array([n == 0 or n > k for n, k in zip(total, lost)], pa.bool_()))
             yield made
 
-    schema = T.StructType([*inner.schema.fields, T.StructField("_n_lines", T.LongType()), T.StructField("_n_removed", T.LongType())])
+    schema = T.StructType([*fields, T.StructField("_n_lines", T.LongType()), T.StructField("_n_removed", T.LongType())])
     out = joined.mapInArrow(run, schema)
     kept = [(f"_c{i}", n) for i, n in enumerate(names) if not counts or n not in ("n_lines", "n_removed")]
     kept += [("_n_lines", "n_lines"), ("_n_removed", "n_removed")] if counts else []

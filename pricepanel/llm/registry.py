@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pricepanel.lineage import scratch_path
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -24,3 +26,10 @@ def query(name: str, sql: str | None = None):
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
+
+
+def saved(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and continue from the written table, which is smaller than a checkpoint."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
