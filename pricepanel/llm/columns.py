@@ -12,7 +12,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once inside a task; a longer text is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+#: Bytes whose word hashes are computed at once, so that a very long text needs no more memory than its words.
+HASH_BYTES = 1 << 18
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -144,7 +146,14 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.count)
 
     def hashes(self) -> np.ndarray:
-        return Runs(_SALT[self.bytes], _P).of(self.start, self.end)
+        out = np.empty(len(self.start), np.uint64)
+        cuts = np.searchsorted(self.start, np.arange(0, len(self.bytes) + HASH_BYTES, HASH_BYTES))
+        for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+            if a < b:
+                base = self.start[a]
+                runs = Runs(_SALT[self.bytes[base : self.end[b - 1]]], _P)
+                out[a:b] = runs.of(self.start[a:b] - base, self.end[a:b] - base)
+        return out
 
     def word(self, i: int) -> bytes:
         return self.bytes[self.start[i] : self.end[i]].tobytes()

@@ -19,7 +19,7 @@ import numpy as np
 #: Name of the default vocabulary file.
 VOCABULARY = "word_bpe_49k.json"
 #: Pieces in each of the two generations of a worker's cache.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 120_000
 #: A longer piece is encoded each time and not kept.
 PIECE_CHARS = 64
 #: Pieces encoded by one call.
