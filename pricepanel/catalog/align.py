@@ -10,7 +10,7 @@ from pricepanel.operators import align as L
 from pricepanel.operators.profile import gap_profile
 from pricepanel.sources import adapters as A
 
-# The five competitor identifiers of the panel, sorted.
+# Column names of the expected tables below; the queries take theirs from the panel.
 ENTITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
@@ -98,7 +98,8 @@ view("comp_matrix", ["comp"], MATRIX)
 
 @query("c6_matrix", sql="SELECT * FROM comp_matrix", uses=["comp_matrix"])
 def matrix(spark, root):
-    return L.to_matrix(A.competitor_panel(spark, root), ENTITIES)
+    panel = A.competitor_panel(spark, root)
+    return L.to_matrix(panel, L.entity_list(panel))
 
 
 @query(
@@ -107,7 +108,8 @@ def matrix(spark, root):
     uses=["comp_matrix"],
 )
 def matrix_to_long(spark, root):
-    m = L.to_matrix(A.competitor_panel(spark, root), ENTITIES)
+    panel = A.competitor_panel(spark, root)
+    m = L.to_matrix(panel, L.entity_list(panel))
     return L.to_long(m, ["obs_date"]).where(F.col("price").isNotNull())
 
 
@@ -177,7 +179,7 @@ def densify_portfolio(spark, root):
 def transpose(spark, root):
     """Weekday x entity matrix of mean prices, turned into entity x weekday."""
     by_day = A.competitor_panel(spark, root).withColumn("weekday", F.weekday("obs_date"))
-    m = L.to_matrix(by_day, ENTITIES, agg="avg", rows="weekday")
+    m = L.to_matrix(by_day, L.entity_list(by_day), agg="avg", rows="weekday")
     out = L.transpose(m, "weekday", list(range(7)))
     return out.select("name", *[F.round(str(i), 4).alias(str(i)) for i in range(7)])
 

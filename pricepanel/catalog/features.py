@@ -192,6 +192,7 @@ def design_vectors(spark, root):
     return vectors(spark, root).select("focal_id", "obs_date", "row")
 
 
+# Feature names of the lagged data set.
 DICTIONARY = """SELECT focal_id, entity || '_lag_' || k AS feature, 'lag' AS kind, CAST(k AS INTEGER) AS lag, currency
     FROM focal_columns, (SELECT unnest([1, 2, 3, 4, 5]) AS k)
     UNION ALL SELECT focal_id, f, 'temporal', NULL, NULL

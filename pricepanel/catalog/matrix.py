@@ -92,12 +92,14 @@ KNN = " UNION ALL ".join(
     uses=["wide_masked"],
 )
 def knn_impute(spark, root):
-    m = L.to_matrix(A.masked_panel(spark, root), ENTITIES)
+    panel = A.masked_panel(spark, root)
+    names = L.entity_list(panel)
+    m = L.to_matrix(panel, names)
     rows = m.select(
         F.lit("MARKET").alias("focal_id"),
         "obs_date",
-        F.array(*[F.struct(F.lit(e).alias("entity"), F.lit("USD").alias("currency")) for e in ENTITIES]).alias("columns"),
-        F.array(*[F.col(f"`{e}`") for e in ENTITIES]).alias("row"),
+        F.array(*[F.struct(F.lit(e).alias("entity"), F.lit("USD").alias("currency")) for e in names]).alias("columns"),
+        F.array(*[F.col(f"`{e}`") for e in names]).alias("row"),
     )
     filled = M.knn_impute(rows)
     return filled.select(
@@ -111,9 +113,10 @@ def knn_impute_portfolio(spark, root):
 
 
 @query("d13_mice_forest")
-def mice_forest(spark, root):
-    m = L.to_matrix(A.competitor_panel(spark, root), ENTITIES)
-    return M.mice_rf(m, ENTITIES)
+def mice_forest(spark, root, rounds=10):
+    panel = A.competitor_panel(spark, root)
+    names = L.entity_list(panel)
+    return M.mice_rf(L.to_matrix(panel, names), names, rounds=rounds)
 
 
 PAIR = """covar_pop({x}, {y}) / nullif(stddev_pop(CASE WHEN {y} IS NOT NULL THEN {x} END)
@@ -198,3 +201,25 @@ def matrix_completion_summary(spark, root):
     return A.registry(spark, root).join(summary, "focal_id", "left").withColumn(
         "status", F.coalesce("status", F.lit("Skipped: no data"))
     )
+
+
+@query(
+    "d13_forest_kept_cells",
+    sql="""SELECT entity, d.n AS n_cells, count(price) AS n_observed, count(price) AS n_kept, 0 AS n_empty
+        FROM comp, (SELECT count(DISTINCT obs_date) AS n FROM comp) d GROUP BY entity, d.n""",
+    uses=["comp"],
+)
+def forest_kept_cells(spark, root):
+    """Every observed cell survives the forest imputation and no cell stays empty; two rounds show it."""
+    panel = A.competitor_panel(spark, root).select("entity", "obs_date", F.col("price").alias("seen"))
+    filled = L.to_long(mice_forest(spark, root, rounds=2), ["obs_date"])
+    return (
+        filled.join(panel, ["entity", "obs_date"], "left")
+        .groupBy("entity")
+        .agg(
+            F.count(F.lit(1)).alias("n_cells"),
+            F.count("seen").alias("n_observed"),
+            F.count_if(F.col("seen") == F.col("price")).alias("n_kept"),
+            F.count_if(F.col("price").isNull()).cast("int").alias("n_empty"),
+        )
+    )

@@ -25,8 +25,11 @@ DELTA = """SELECT entity, """ + ", ".join(
     for f, n in (("avg", "mean"), ("stddev_samp", "std"), ("median", "median"), ("min", "min"), ("max", "max"))
 ) + " FROM comp_dense b JOIN decay_filled a USING (entity, obs_date) GROUP BY 1"
 KS = """SELECT entity, na AS n_first, nb AS n_second, d AS ks_statistic,
-    CASE WHEN lam < 0.3 THEN 1.0 ELSE least(1, greatest(0, (SELECT sum(CASE WHEN k % 2 = 1 THEN 2 ELSE -2 END
-      * exp(-2.0 * k * k * lam * lam)) FROM range(1, 101) t(k)))) END AS ks_pvalue
+    CASE WHEN lam <= 0 THEN 1.0
+      WHEN lam < 1 THEN least(1, greatest(0, 1 - sqrt(2 * pi()) / lam
+        * (SELECT sum(exp(-pow(2 * k - 1, 2) * pow(pi(), 2) / (8 * lam * lam))) FROM range(1, 101) t(k))))
+      ELSE least(1, greatest(0, (SELECT sum(CASE WHEN k % 2 = 1 THEN 2 ELSE -2 END
+        * exp(-2.0 * k * k * lam * lam)) FROM range(1, 101) t(k)))) END AS ks_pvalue
     FROM (SELECT *, d * sqrt(na * nb / (na + nb)) AS lam FROM (
       SELECT entity, CAST(max(na) AS BIGINT) AS na, CAST(max(nb) AS BIGINT) AS nb,
              max(abs(ca / na - cb / nb)) AS d FROM (
@@ -117,9 +120,26 @@ def grade(spark, root):
     )
 
 
-@query("j4_grade_texts")
+@query(
+    "j4_grade_texts",
+    sql="""SELECT entity, quality, concat_ws('; ',
+          CASE WHEN abs(mean_delta) > 0.1 * pre_std
+            THEN printf('Mean shifted by $%+.2f (%+.1f%%)', mean_delta, mean_delta / pre_mean * 100) END,
+          CASE WHEN NOT ks_pvalue > 0.05 THEN printf('Distribution changed (KS p = %.4f)', ks_pvalue) END,
+          CASE WHEN missing_after > 0 AND missing_after >= missing_before
+            THEN 'Missing values not reduced' END) AS issues,
+        concat_ws('; ', CASE WHEN abs(post_std - pre_std) > 0.1 * pre_std
+          THEN printf('Std dev changed by %+.1f%%', (post_std - pre_std) / pre_std * 100) END) AS warnings
+        FROM graded""",
+    uses=["graded"],
+)
 def grade_texts(spark, root):
-    return report(spark, root).select("entity", "quality", "issues", "warnings")
+    return report(spark, root).select(
+        "entity",
+        "quality",
+        F.array_join("issues", "; ").alias("issues"),
+        F.array_join("warnings", "; ").alias("warnings"),
+    )
 
 
 @query(

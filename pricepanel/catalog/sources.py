@@ -75,7 +75,11 @@ def scan_portfolio(spark, root):
     return loaded.unionByName(skipped.select("focal_id", F.lit(0).cast("bigint").alias("n_rows"), "status"))
 
 
-@query("a6_glob_scan")
+@query(
+    "a6_glob_scan",
+    sql="SELECT focal_id AS owner, 1 AS n_files, count(*) AS n_rows FROM portfolio GROUP BY 1",
+    uses=["portfolio"],
+)
 def glob_scan(spark, root):
     """Files of one folder; the identifier comes from the file name."""
     path = scratch_path(spark, "glob")

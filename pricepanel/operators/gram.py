@@ -61,14 +61,19 @@ def merge(parts: Iterator[tuple[int, np.ndarray, np.ndarray]]):
     return n, mean, m2
 
 
-def vector_gram(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
+def vector_gram(
+    df: DataFrame, keys: list[str], vector: str, weight: str | None = None
+) -> DataFrame:
     """(keys, n, mean, m2) partials of an array column; at most a few per key and task.
 
     NULL elements count as 0; the caller keys rows by their missing pattern
-    when that matters.  Combine partials with ``merge``.
+    when that matters.  With ``weight``, the rows multiplied by that column are
+    aggregated in the same pass and a column ``weighted`` tells the two apart.
+    Combine partials with ``merge``.
     """
     schema = T.StructType(
         [df.schema[k] for k in keys]
+        + ([T.StructField("weighted", T.BooleanType())] if weight else [])
         + [
             T.StructField("n", T.LongType()),
             T.StructField("mean", T.ArrayType(T.DoubleType())),
@@ -77,7 +82,7 @@ def vector_gram(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
     )
 
     def emit(held: dict) -> pd.DataFrame:
-        out = pd.DataFrame(list(held.keys()), columns=keys)
+        out = pd.DataFrame(list(held.keys()), columns=[*keys, "weighted"] if weight else keys)
         out["n"] = [v[0] for v in held.values()]
         out["mean"] = [v[1] for v in held.values()]
         out["m2"] = [v[2].ravel() for v in held.values()]
@@ -93,14 +98,19 @@ def vector_gram(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
             for key, where in batch.groupby(keys, sort=False, dropna=False).indices.items():
                 key = key if isinstance(key, tuple) else (key,)
                 x = np.nan_to_num(np.stack(vectors[where]).astype(float))
-                mean = x.mean(axis=0)
-                c = x - mean
-                part = (len(x), mean, c.T @ c)
-                if key in held:
-                    part = merge(iter((held[key], part)))
-                else:
-                    size += part[2].size
-                held[key] = part
+                versions = [(key, x)]
+                if weight:
+                    w = batch[weight].to_numpy(dtype=float)[where]
+                    versions = [((*key, False), x), ((*key, True), x * w[:, None])]
+                for at, v in versions:
+                    mean = v.mean(axis=0)
+                    c = v - mean
+                    part = (len(v), mean, c.T @ c)
+                    if at in held:
+                        part = merge(iter((held[at], part)))
+                    else:
+                        size += part[2].size
+                    held[at] = part
             if size > _FLUSH_AT:
                 yield emit(held)
                 held, size = {}, 0
@@ -108,7 +118,8 @@ def vector_gram(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
             yield emit(held)
 
     ship(df.sparkSession)
-    return df.select(*keys, vector).mapInPandas(reduce_batches, schema)
+    columns = [*keys, vector, *([weight] if weight else [])]
+    return df.select(*columns).mapInPandas(reduce_batches, schema)
 
 
 def unpack(row_n, row_mean, row_m2):

@@ -152,7 +152,7 @@ def _isolated(solve_focal):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         try:
             return solve_focal(pdf).assign(status="Success")
-        except Exception as e:
+        except (ValueError, ArithmeticError) as e:
             patterns = sorted(pdf["pattern"].unique())
             return pd.DataFrame(
                 {
@@ -466,16 +466,16 @@ def mice_rf(
     cols: list[str],
     rounds: int = 10,
     trees: int = 10,
-    depth: int = 8,
+    depth: int = 30,
     seed: int = 42,
     tol: float = 1e-3,
 ) -> DataFrame:
     """Chained imputation of a wide matrix with Spark ML random forests.
 
-    Mean start, columns with fewest gaps first, at most ``rounds`` rounds.  One
-    forest is trained distributed per column and round, so the work of a round
-    is spread over the cluster; the written copy after each round keeps the
-    lineage short.
+    Mean start, columns with fewest gaps first, at most ``rounds`` rounds; every
+    split may use every column and trees grow to the depth Spark allows.  One
+    forest is trained distributed per column and round; the written copy after
+    each round keeps the lineage short.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
@@ -495,7 +495,7 @@ def mice_rf(
         *[F.coalesce(F.col(c), F.lit(profile[f"m_{i}"])).alias(f"_v{i}") for i, c in enumerate(cols)],
     )
     for _ in range(rounds):
-        before = state
+        state = state.withColumns({f"_b{i}": F.col(f"_v{i}") for i in order})
         for i in order:
             others = [f"_v{j}" for j in range(len(cols)) if j != i]
             assembler = VectorAssembler(inputCols=others, outputCol="_x")
@@ -505,31 +505,17 @@ def mice_rf(
                 predictionCol="_pred",
                 numTrees=trees,
                 maxDepth=depth,
+                featureSubsetStrategy="all",
                 seed=seed,
             )
             table = assembler.transform(state)
             model = forest.fit(table.where(~F.col(f"_miss_{i}")))
-            state = (
-                model.transform(table)
-                .withColumn(
-                    f"_v{i}",
-                    F.when(F.col(f"_miss_{i}"), F.col("_pred")).otherwise(F.col(f"_v{i}")),
-                )
-                .drop("_x", "_pred")
-            )
+            filled = F.when(F.col(f"_miss_{i}"), F.col("_pred")).otherwise(F.col(f"_v{i}"))
+            state = model.transform(table).withColumn(f"_v{i}", filled).drop("_x", "_pred")
         state = cut(state)
-        pairs = state.select(*ids, *[F.col(f"_v{i}").alias(f"_a{i}") for i in order]).join(
-            before.select(*ids, *[F.col(f"_v{i}").alias(f"_b{i}") for i in order]), ids
-        )
-        moved = (
-            pairs.agg(
-                F.greatest(
-                    F.lit(0.0), *[F.max(F.abs(F.col(f"_a{i}") - F.col(f"_b{i}"))) for i in order]
-                ).alias("m")
-            ).first()["m"]
-            if order
-            else 0.0
-        )
+        moves = [F.max(F.abs(F.col(f"_v{i}") - F.col(f"_b{i}"))) for i in order]
+        moved = state.agg(F.greatest(F.lit(0.0), F.lit(0.0), *moves)).first()[0]
+        state = state.drop(*[f"_b{i}" for i in order])
         if moved < tol * profile["largest"]:
             break
     return state.select(*ids, *[F.col(f"_v{i}").alias(c) for i, c in enumerate(cols)])

@@ -263,6 +263,7 @@ def readiness(
         .unionByName(joint, allowMissingColumns=True)
     )
     figures = parts.agg(*[F.max(c).alias(c) for c in parts.columns])
+    # Names and limits of the checks.
     checks = {
         "sufficient_overlap": F.col("days") >= 100,
         "clean_price_data": (F.col("f_invalid") + F.col("c_invalid")) == 0,

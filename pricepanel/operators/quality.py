@@ -102,6 +102,7 @@ def grade(report: DataFrame) -> DataFrame:
     No issue scores 5 whatever the warnings; one issue 4 without and 3 with a
     warning; more issues 2.
     """
+    # Limits and the wording of issues and warnings.
     limit = F.col("pre_std") * 0.1
     shifted = F.abs("mean_delta") > limit
     issues = F.array_compact(
@@ -153,6 +154,7 @@ def grade(report: DataFrame) -> DataFrame:
 
 def quality_shares(report: DataFrame) -> DataFrame:
     """Count and share of every grade, absent grades included as zero."""
+    # The grades.
     labels = ["EXCELLENT", "GOOD", "FAIR", "POOR"]
     return report.agg(
         F.count(F.lit(1)).alias("_t"),

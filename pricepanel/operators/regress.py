@@ -321,6 +321,7 @@ def effects(terms: DataFrame, keys: list[str] | None = None) -> DataFrame:
         )
         .withColumn(
             "strategy",
+            # Limits and labels.
             F.when(F.col("total_effect") > 0.1, "COMPLEMENTARY")
             .when(F.col("total_effect") < -0.1, "COMPETITIVE")
             .otherwise("NEUTRAL"),
@@ -332,6 +333,7 @@ def effects(terms: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 def effect_labels(terms: DataFrame) -> DataFrame:
     """Sign and magnitude words of every competitor coefficient."""
+    # Limits and words.
     size = F.abs("coef")
     return terms.where(F.col("kind") == "beta").withColumns(
         {

@@ -9,6 +9,8 @@ scanned once for all folds and once more to score the test rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -23,7 +25,6 @@ from pricepanel.operators.regress import equation
 MIN_TRAIN = 300
 TEST_WINDOW = 50
 INNER_FOLDS = 5
-BLOCK = 10
 DEGENERATE_R2 = -999.0
 
 DOUBLES = T.ArrayType(T.DoubleType())
@@ -64,20 +65,20 @@ def expanding_splits(
     df: DataFrame, min_train: int = MIN_TRAIN, window: int = TEST_WINDOW
 ) -> DataFrame:
     """(focal_id, fold, train_rows, test_start, test_end) of every complete window."""
-    sizes = df.groupBy("focal_id").agg(
-        F.count(F.lit(1)).cast("int").alias("n"),
-        F.sort_array(F.collect_list("obs_date")).alias("_d"),
-    )
-    folds = sizes.withColumn("_k", fold_count(F.col("n"), min_train, window)).where("_k > 0")
-    first = F.col("fold") * window + (min_train - window)
-    return folds.select(
-        "focal_id", "_d", F.explode(F.sequence(F.lit(1), F.col("_k"))).alias("fold")
-    ).select(
-        "focal_id",
-        "fold",
-        first.cast("bigint").alias("train_rows"),
-        F.get("_d", first).alias("test_start"),
-        F.get("_d", first + window - 1).alias("test_end"),
+    fold = test_fold(F.col("rn"), F.col("n"), min_train, window)
+    return (
+        numbered(df.select("focal_id", "obs_date"))
+        .withColumn("fold", fold)
+        .where(F.col("fold").isNotNull())
+        .groupBy("focal_id", "fold")
+        .agg(F.min("obs_date").alias("test_start"), F.max("obs_date").alias("test_end"))
+        .select(
+            "focal_id",
+            "fold",
+            (F.col("fold") * window + (min_train - window)).cast("bigint").alias("train_rows"),
+            "test_start",
+            "test_end",
+        )
     )
 
 
@@ -93,12 +94,31 @@ def _inner_fold(rn: Column, n: Column, k: int = INNER_FOLDS) -> Column:
     )
 
 
-def block_gram(design: DataFrame) -> DataFrame:
-    """Cross products of [x..., y] per (focal, block of ten rows, fold of the whole series)."""
+def inner_bounds(n: int, k: int = INNER_FOLDS) -> list[int]:
+    """Row numbers where the ``k`` contiguous folds of ``n`` rows begin and end; the first n mod k are longer."""
+    small, extra = divmod(n, k)
+    return [j * small + min(j, extra) for j in range(k + 1)]
+
+
+def block_size(min_train: int, window: int) -> int:
+    """Most rows per block so that every inner fold of every expanding window is whole blocks."""
+    if min_train % INNER_FOLDS or window % INNER_FOLDS:
+        return 1
+    return math.gcd(min_train // INNER_FOLDS, window // INNER_FOLDS)
+
+
+def block_gram(
+    design: DataFrame, block: int | None = block_size(MIN_TRAIN, TEST_WINDOW)
+) -> DataFrame:
+    """Cross products of [x..., y] per focal and fold of the whole series, and per block of so many rows.
+
+    Without ``block`` there are five partials per focal, however long the series.
+    """
     rows = numbered(design)
+    number = F.floor(F.col("rn") / block).cast("int") if block else F.lit(0)
     keyed = rows.select(
         "focal_id",
-        F.floor(F.col("rn") / BLOCK).cast("int").alias("block"),
+        number.alias("block"),
         _inner_fold(F.col("rn"), F.col("n")).alias("fold5"),
         F.concat("x", F.array("y")).alias("_v"),
     )
@@ -198,10 +218,7 @@ def fit_folds(
     ``coef`` is on the original scale and full length (zero where a feature was
     not selected).  A focal whose fit fails keeps one row with its message.
     """
-    if min_train % BLOCK or window % BLOCK or min_train % (INNER_FOLDS * BLOCK) or window % (
-        INNER_FOLDS * BLOCK
-    ):
-        raise ValueError(f"window sizes must be multiples of {INNER_FOLDS * BLOCK}")
+    size = block_size(min_train, window) if outer else None
     focal = design.schema["focal_id"]
     schema = T.StructType([focal, *COEF_FIELDS])
     alphas = alpha_grid(n_alphas)
@@ -215,20 +232,18 @@ def fit_folds(
                     G.unpack(r.n, r.mean, r.m2) for r in part.itertuples(index=False)
                 )
             n = sum(c[0] for c in cells.values())
-            last = max(b for b, _ in cells)
-            by_block = [
-                _combine(c for (b, _), c in cells.items() if b == i) for i in range(last + 1)
-            ]
+            parts: dict[int, list] = {}
+            for (b, _), cell in cells.items():
+                parts.setdefault(b, []).append(cell)
+            by_block = [_combine(parts[b]) for b in sorted(parts)]
             whole = [
                 _combine(c for (_, f), c in cells.items() if f == k)
                 for k in sorted({f for _, f in cells})
             ]
             sets, labels = [whole], [0]
             for i in range(max((n - min_train) // window, 0) if outer else 0):
-                step = (min_train + i * window) // INNER_FOLDS // BLOCK
-                sets.append(
-                    [_combine(by_block[k * step : (k + 1) * step]) for k in range(INNER_FOLDS)]
-                )
+                bounds = [b // size for b in inner_bounds(min_train + i * window)]
+                sets.append([_combine(by_block[a:b]) for a, b in zip(bounds, bounds[1:])])
                 labels.append(i + 1)
             rows = []
             for label, (alpha, chosen, total, mean, sd) in zip(
@@ -242,11 +257,11 @@ def fit_folds(
                     [focal_id, label, alpha, b0, full, chosen.astype(np.int32), mean, sd]
                     + [total[0], r2, "Success"]
                 )
-        except Exception as e:  # isolate the focal, keep the run going
+        except (ValueError, ArithmeticError) as e:  # isolate the focal, keep the run going
             rows = [[focal_id, 0] + [None] * 8 + [f"Failed: {e}"]]
         return pd.DataFrame(rows, columns=[f.name for f in schema])
 
-    return spread(block_gram(design), ["focal_id"]).groupBy("focal_id").applyInPandas(solve, schema)
+    return spread(block_gram(design, size), ["focal_id"]).groupBy("focal_id").applyInPandas(solve, schema)
 
 
 # --- scoring --------------------------------------------------------------------------
@@ -492,8 +507,8 @@ def ols_hc1(design: DataFrame, models: DataFrame) -> DataFrame:
     """HC1 standard errors of the selected, standardised features.
 
     One row per focal: ``coef_std`` and ``se``, ``z``, ``p_value`` arrays with the
-    intercept first, in the order of ``selected``.  The second pass aggregates
-    the cross products of the residual-weighted rows.
+    intercept first, in the order of ``selected``.  Plain and residual-weighted
+    cross products come from one pass over the design.
     """
     base = models.where("fold = 0 AND status = 'Success'").select(
         "focal_id", "intercept", "coef", "selected", "x_mean", "x_scale"
@@ -508,12 +523,7 @@ def ols_hc1(design: DataFrame, models: DataFrame) -> DataFrame:
         F.concat(F.array(F.lit(1.0)), z).alias("_d"),
         e.alias("_e"),
     )
-    plain = G.vector_gram(rows, ["focal_id"], "_d").withColumn("weighted", F.lit(False))
-    weighted = G.vector_gram(
-        rows.select("focal_id", F.transform("_d", lambda v: v * F.col("_e")).alias("_d")),
-        ["focal_id"],
-        "_d",
-    ).withColumn("weighted", F.lit(True))
+    moments = G.vector_gram(rows, ["focal_id"], "_d", weight="_e")
     scaled = base.select(
         "focal_id",
         F.concat(
@@ -521,7 +531,7 @@ def ols_hc1(design: DataFrame, models: DataFrame) -> DataFrame:
             F.transform("selected", lambda i: F.get("coef", i) * F.get("x_scale", i)),
         ).alias("coef_std"),
     )
-    parts = plain.unionByName(weighted).join(scaled, "focal_id")
+    parts = moments.join(scaled, "focal_id")
     schema = T.StructType(
         [design.schema["focal_id"]]
         + [T.StructField(c, DOUBLES) for c in ("coef_std", "se", "z", "p_value")]
