@@ -8,6 +8,7 @@ setting is absent *and* the session runs in local mode (unit tests).
 
 from __future__ import annotations
 
+import atexit
 import pathlib
 import shutil
 import tempfile
@@ -31,9 +32,28 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def release() -> None:
+    """Delete the scratch tables of this process; their results must have been consumed."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        try:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        except Exception:  # the session is gone; at exit there is nobody left to tell
+            return
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark).rstrip('/')}/pricepanel/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no earlier run has used; deleted when the process ends."""
+    if not _SCRATCH:
+        atexit.unregister(release)
+        atexit.register(release)
+    path = f"{shared_dir(spark).rstrip('/')}/pricepanel/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append((spark, path))
+    return path
 
 
 def cut(df: DataFrame) -> DataFrame:
