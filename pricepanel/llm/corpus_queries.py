@@ -64,7 +64,29 @@ def op6_simhash(spark: SparkSession, root: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-@query("op3_line_dedup")
+_SQL_LINE_DEDUP = f"""
+WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+l AS (SELECT doc_id, unnest(parts) AS s, unnest(range(0, len(parts))) AS line FROM d),
+w AS (SELECT *, doc_id * 10000000 + line AS place,
+             list_filter(regexp_split_to_array(s, '[\\x09-\\x0D ]+'), lambda x: x <> '') AS ws FROM l),
+k AS (SELECT *, len(ws) AS n, array_to_string(ws, ' ') AS k FROM w),
+f AS (SELECT k, any_value(ws) AS ws, any_value(n) AS n, min(place) AS o FROM k WHERE n > 0 GROUP BY k),
+v AS (SELECT k, o, p, array_to_string(list_concat(ws[1:p - 1], ws[p + 1:]), ' ') AS d
+      FROM (SELECT *, unnest(range(1, n + 1)) AS p FROM f WHERE n >= {line_dedup.MIN_WORDS})),
+j AS (SELECT v.k AS longer, v.o AS lo, f.k AS shorter, f.o AS so
+      FROM v JOIN f ON f.k = v.d AND f.n >= {line_dedup.MIN_WORDS}),
+near AS (SELECT k FROM (SELECT k, o, min(o) OVER (PARTITION BY d, p) AS m FROM v) WHERE m < o
+         UNION SELECT longer FROM j WHERE so < lo UNION SELECT shorter FROM j WHERE lo < so),
+g AS (SELECT k.doc_id, k.line, k.s, k.n, k.n > 0 AND (k.place > f.o OR k.k IN (SELECT k FROM near)) AS gone
+      FROM k LEFT JOIN f ON f.k = k.k AND k.n > 0),
+a AS (SELECT doc_id, count(*) FILTER (n > 0) AS n_lines, count(*) FILTER (gone) AS n_removed,
+             string_agg(s, chr(10) ORDER BY line) FILTER (gone IS NOT TRUE) AS kept FROM g GROUP BY doc_id)
+SELECT doc_id, n_lines, n_removed, CASE WHEN d.text IS NOT NULL THEN coalesce(kept, '') END AS text
+FROM d JOIN a USING (doc_id)
+"""
+
+
+@query("op3_line_dedup", _SQL_LINE_DEDUP)
 def op3_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     found = line_dedup.deduplicate(table(spark, root, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_removed", "text")
