@@ -6,6 +6,7 @@ any run of words come from a few numpy passes over all rows at once.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,14 +42,25 @@ def text_slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
     """Cut batches between rows so that a slice holds at most ``limit`` bytes of text."""
-    for batch in batches:
-        _, offsets = raw(batch.column(column))
-        row = 0
-        while row < batch.num_rows:
-            end = int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1
-            end = min(max(end, row + 1), batch.num_rows)
-            yield batch.slice(row, end - row)
-            row = end
+    try:
+        for batch in batches:
+            _, offsets = raw(batch.column(column))
+            row = 0
+            while row < batch.num_rows:
+                end = int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1
+                end = min(max(end, row + 1), batch.num_rows)
+                yield batch.slice(row, end - row)
+                row = end
+    finally:
+        _give_back()
+
+
+def _give_back() -> None:
+    """Return freed memory to the machine: a worker waits for its next task with as little as it can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def raw(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
