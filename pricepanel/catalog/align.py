@@ -232,14 +232,13 @@ def semi_align(spark, root):
 
 @query(
     "c14_missing_dates",
-    sql="SELECT obs_date FROM focal EXCEPT SELECT obs_date FROM comp WHERE entity = '5-LOW'",
+    sql="""SELECT entity, obs_date FROM focal, (SELECT DISTINCT entity FROM comp) e
+        EXCEPT SELECT entity, obs_date FROM comp""",
     uses=["focal", "comp"],
 )
 def missing_dates(spark, root):
-    comp = A.competitor_panel(spark, root)
-    return L.missing_dates(
-        L.base_rate(A.focal_rows(spark, root)), comp.where(F.col("entity") == "5-LOW")
-    )
+    """Dates of the focal panel that each entity lacks."""
+    return L.missing_by_entity(L.base_rate(A.focal_rows(spark, root)), A.competitor_panel(spark, root))
 
 
 @query(

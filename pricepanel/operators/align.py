@@ -194,6 +194,13 @@ def missing_dates(base: DataFrame, df: DataFrame, date: str = "obs_date") -> Dat
     return base.select(date).distinct().join(df.select(date), date, "left_anti")
 
 
+def missing_by_entity(df: DataFrame, panel: DataFrame, date: str = "obs_date") -> DataFrame:
+    """(entity, date) for every date of ``df`` on which an entity of ``panel`` has no row."""
+    entities = panel.agg(F.collect_set("entity").alias("e")).scalar()
+    every = df.select(date).distinct().select(F.explode(entities).alias("entity"), date)
+    return every.join(panel.select("entity", date), ["entity", date], "left_anti")
+
+
 def drop_empty_entities(
     df: DataFrame, value: str = "price", keys: list[str] | None = None
 ) -> DataFrame:

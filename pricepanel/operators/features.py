@@ -287,16 +287,23 @@ def lag_profile(
     counts = rows.groupBy("focal_id").agg(
         F.count(F.lit(1)).alias("original_rows"), F.max(F.size("row")).alias("price_columns")
     )
-    kept = F.greatest(F.col("original_rows") - max(ks), F.lit(0))
-    n_lag = F.col("price_columns") * len(ks)
-    out = counts.select(
+    sizes = sum((F.size(f"lag_{k}") for k in ks), F.lit(0))
+    lagged = lagged_rows(rows, ks).groupBy("focal_id").agg(
+        F.count(F.lit(1)).alias("_kept"),
+        F.max(sizes).alias("_lags"),
+        F.max(F.size(C.lag_temporal_array())).alias("_calendar"),
+    )
+    kept = F.coalesce("_kept", F.lit(0))
+    # A focal that keeps no row still has its columns.
+    n_lag = F.coalesce(F.col("_lags"), F.col("price_columns") * len(ks))
+    out = counts.join(lagged, "focal_id", "left").select(
         "focal_id",
         "original_rows",
         kept.alias("final_rows"),
         (F.col("original_rows") - kept).alias("rows_lost"),
         F.round(kept / F.col("original_rows") * 100, 1).alias("data_retention_pct"),
         # prices, weekday, month, weekend, lags, day of year, six sine/cosine columns
-        (F.col("price_columns") + 3 + n_lag + 7).cast("bigint").alias("total_features"),
+        (F.col("price_columns") + 3 + n_lag + F.coalesce("_calendar", F.lit(7))).cast("bigint").alias("total_features"),
         n_lag.cast("bigint").alias("lag_features"),
         F.col("price_columns").cast("bigint").alias("price_columns"),
         (F.col("price_columns") - 1).cast("bigint").alias("num_competitors"),
