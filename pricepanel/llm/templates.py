@@ -2,13 +2,15 @@
 
 Every page is parsed into a light element tree; each container's subtree gets
 a hash of its tags and text, counted once per page and host in Spark (partial
-counts first, so a hot host is no hot key).  Subtrees that recur across many
-pages of their host are deleted, as are elements whose tag, role or class
-names say that they are no part of an article.  Paragraph-like elements inside
-the article are never deleted for recurring, so copies of an article keep it.
+counts first, so a hot host is no hot key).  Subtrees on many different pages
+of their host are deleted, whatever share of a big host those are, as are
+elements whose tag, role or class names say that they are no part of an
+article.  Paragraph-like elements inside the article are never deleted for
+recurring; other subtrees inside it must recur in different articles, so
+copies of an article or a page keep its text.
 
 Defined results: a null page is empty and has the empty text; a null url
-counts as one host; repeated rows each count as a page; tags may be missing,
+counts as one host; equal pages of a host count as one; tags may be missing,
 unclosed or cut off anywhere.
 """
 
@@ -26,11 +28,9 @@ from pyspark.sql import functions as F
 from pricepanel.lineage import cut, ship
 from pricepanel.llm.columns import text_slices
 
-#: A subtree is a template when it is on at least so many pages of its host,
+#: A subtree is a template when it is on at least so many different pages of its host,
+#: or in so many different articles if it stands inside one.
 MIN_PAGES = 5
-#: and on at least this share of them; inside an article the greater share counts.
-MIN_SHARE = 0.2
-ARTICLE_SHARE = 0.5
 #: Template keys that are sent to every task; more than that are joined by page.
 BROADCAST_KEYS = 200_000
 
@@ -221,19 +221,21 @@ def _countable(node: Element, inside: bool) -> bool:
     )
 
 
-def subtree_keys(page: str, host: int) -> dict[int, bool]:
-    """Keys of the subtrees to count, and whether they stand inside an article."""
-    out: dict[int, bool] = {}
+def subtree_keys(page: str, host: int) -> list[tuple[int, int]]:
+    """Keys of the subtrees to count, each with the key of the article, or else the page, that it stands in."""
+    out: dict[tuple[int, int], None] = {}
     root = parse(page)
     order = _hashed(root, host)
     gone: set[int] = set()
+    around: dict[int, int] = {id(root): root.key}
     for node, inside in order:
+        if node is not root:
+            around[id(node)] = node.key if node.content else around[id(node.parent)]
         if node.dropped or id(node.parent) in gone:
             gone.add(id(node))
         elif _countable(node, inside):
-            key = _signed(node.key)
-            out[key] = out.get(key, True) and inside
-    return out
+            out[_signed(node.key), _signed(around[id(node)])] = None
+    return list(out)
 
 
 def _roots(root: Element) -> list[Element]:
@@ -304,24 +306,24 @@ def _chosen(pages: DataFrame, html_col: str, url: str, id_col: str) -> DataFrame
 
 
 def _keys(pages: DataFrame) -> DataFrame:
-    """(page_id, host, outside, inside) of every page: keys of its subtrees by place."""
+    """(page_id, host, subtrees, places) of every page: keys of its subtrees and of what they stand in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "html"):
-            hosts, outside, inside = [], [], []
+            hosts, subtrees, places = [], [], []
             for url, page in zip(part.column("url").to_pylist(), part.column("html").to_pylist()):
                 host = _host_key(url)
                 keys = subtree_keys(page or "", host)
                 hosts.append(host)
-                outside.append([k for k, within in keys.items() if not within])
-                inside.append([k for k, within in keys.items() if within])
+                subtrees.append([k for k, _ in keys])
+                places.append([p for _, p in keys])
             many = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column("page_id"), pa.array(hosts, pa.int64()), pa.array(outside, many), pa.array(inside, many)],
-                names=["page_id", "host", "outside", "inside"],
+                [part.column("page_id"), pa.array(hosts, pa.int64()), pa.array(subtrees, many), pa.array(places, many)],
+                names=["page_id", "host", "subtrees", "places"],
             )
 
-    return pages.mapInArrow(run, "page_id long, host long, outside array<long>, inside array<long>")
+    return pages.mapInArrow(run, "page_id long, host long, subtrees array<long>, places array<long>")
 
 
 def _texts(pages: DataFrame, shared) -> DataFrame:
@@ -350,16 +352,13 @@ def _texts(pages: DataFrame, shared) -> DataFrame:
 
 def template_keys(keys: DataFrame) -> DataFrame:
     """Keys of subtrees that recur across many pages of their host."""
-    rows = keys.select("host", F.explode(F.concat(
-        F.transform("outside", lambda k: F.struct(k.alias("key"), F.lit(MIN_SHARE).alias("share"))),
-        F.transform("inside", lambda k: F.struct(k.alias("key"), F.lit(ARTICLE_SHARE).alias("share"))),
-    )).alias("k")).select("host", "k.key", "k.share")
-    counted = rows.groupBy("host", "key").agg(F.count("*").alias("n"), F.min("share").alias("share"))
-    sizes = keys.groupBy("host").agg(F.count("*").alias("pages"))
+    rows = keys.select("host", F.explode(F.arrays_zip("subtrees", "places")).alias("k"))
     return (
-        counted.filter(F.col("n") >= MIN_PAGES)
-        .join(sizes, "host")
-        .filter(F.col("n") >= F.col("share") * F.col("pages"))
+        rows.select("host", F.col("k.subtrees").alias("key"), "k.places")
+        .distinct()
+        .groupBy("host", "key")
+        .agg(F.count("*").alias("n"))
+        .filter(F.col("n") >= MIN_PAGES)
         .select("key")
         .distinct()
     )
@@ -378,7 +377,7 @@ def extract(
         found = frozenset(r["key"] for r in templates.toLocalIterator())
         return _texts(chosen, spark.sparkContext.broadcast(found))
     by_page = (
-        keys.select("page_id", F.explode(F.concat("outside", "inside")).alias("key"))
+        keys.select("page_id", F.explode("subtrees").alias("key"))
         .join(templates, "key", "left_semi")
         .groupBy(F.col("page_id").alias("_page"))
         .agg(F.collect_set("key").alias("templates"))

@@ -137,6 +137,26 @@ def test_copies_of_an_article_keep_its_paragraphs(spark):
     assert {r["text"] for r in found.collect()} == {"T\nOne.\nTwo."}
 
 
+@pytest.mark.parametrize("keys", [1000, 0])
+def test_rotating_adverts_of_a_hot_host(spark, keys):
+    advert = "<div class=x{0}q>Advert {0} of ten, buy now</div>"
+    rows = []
+    for i in range(300):
+        url, ad = f"http://hot.example/{i}", advert.format(i % 10)
+        if i % 2:
+            rows.append((i, url, f"<article><h1>T {i}</h1><p>Same lead.</p>{ad}<div>Text {i}</div></article>"))
+        else:
+            rows.append((i, url, f"<div>Text {i}</div>{ad}"))
+    # Copies of a page keep its text, with and without an article, as do copies of an article beside other parts.
+    rows += [(300 + i, "http://hot.example/copy", "<p>Copied.</p><div>All of it.</div>") for i in range(30)]
+    rows += [(330 + i, "http://hot.example/", f"<article><div>Copied too.</div></article><div>{i}</div>") for i in range(30)]
+    found = templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), broadcast_keys=keys)
+    texts = {r["page_id"]: r["text"] for r in found.collect()}
+    assert all(texts[i] == (f"T {i}\nSame lead.\nText {i}" if i % 2 else f"Text {i}") for i in range(300))
+    assert {texts[i] for i in range(300, 330)} == {"Copied.\nAll of it."}
+    assert {texts[i] for i in range(330, 360)} == {"Copied too."}
+
+
 def load_pipeline():
     spec = importlib.util.spec_from_file_location("corpus_pipeline", f"{_ROOT}/corpus_pipeline.py")
     if not os.path.exists(f"{_ROOT}/corpus_pipeline.py"):
