@@ -251,3 +251,15 @@ def test_short_fuzzy_passages_are_found(spark):
     assert found <= {(2 * i + 1, 2 * i) for i in range(400)}
     print("found", len(found), "of 400; with two common seeds", planted)
     assert planted >= 395 and len(found) >= 0.98 * planted
+
+
+def test_shared_passage_whose_seeds_occur_alone_before(spark):
+    rng = random.Random(15)
+    flat = lambda n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(n)]
+    passage = flat(60)
+    alone = [[*flat(20), *passage[i : i + 5], *flat(20)] for i in range(56)]
+    # B and C, next to each other, and with chance occurrences of all seeds before and between them.
+    for docs, b, c in (([*alone, flat(40) + passage, passage + flat(40)], 56, 57), ([*alone, flat(40) + passage, *alone, passage + flat(40)], 56, 113)):
+        found = passages.shared_passages(corpus.plain(spark, [" ".join(d) for d in docs])).collect()
+        spans = {(r["doc_id"], r["other_doc_id"]): (r["start_word"], r["end_word"], r["other_start"], r["other_end"]) for r in found}
+        assert spans[c, b] == (0, 60, 40, 100)
