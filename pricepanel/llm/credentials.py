@@ -42,7 +42,7 @@ IDENTIFIER = re.compile(
     r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._+-]{3,})""",
     re.I | re.A,
 )
-RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/_=-])")
+RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(
     r"""\b(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]+"""
     r"""|\b(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::\d+)?""",

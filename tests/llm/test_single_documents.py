@@ -142,6 +142,14 @@ def test_credentials_link_weak_parts_only_with_their_complement():
     assert len(link(many)) == 40_000
 
 
+def test_credentials_link_weak_secrets_of_any_length():
+    for size in (6, 7, 500):
+        text = f"client_id=abc123 https://db.example.org/x key {'aB3dE5gH7jK9mN1pQ3sT5' * size}"
+        spans = credentials.linked_spans(text, credentials.base_spans(text))
+        assert [k for k, _, _ in spans] == ["identifier", "weak_secret", "endpoint"]
+        assert spans[1][2] - spans[1][1] == 21 * size
+
+
 def whole(texts):
     reference = Tokenizer.from_file(tokens.default_path())
     reference.encode_special_tokens = True
