@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricepanel.llm import corpus_queries, filter_queries  # noqa: F401
+from pricepanel.llm import corpus_queries, filter_queries, training_queries  # noqa: F401
 from pricepanel.llm.registry import ORACLES, QUERIES
 
 
