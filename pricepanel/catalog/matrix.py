@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pricepanel.catalog.align import ENTITIES
 from pricepanel.catalog.base import query, view
 from pricepanel.catalog.features import vectors
-from pricepanel.operators import align as L, matrix as M, quality as Q
+from pricepanel.operators import align as L, forest, matrix as M, quality as Q
 from pricepanel.sources import adapters as A
 
 
@@ -113,10 +113,15 @@ def knn_impute_portfolio(spark, root):
 
 
 @query("d13_mice_forest")
-def mice_forest(spark, root, rounds=10):
+def mice_forest(spark, root):
     panel = A.competitor_panel(spark, root)
     names = L.entity_list(panel)
-    return M.mice_rf(L.to_matrix(panel, names), names, rounds=rounds)
+    return forest.forest_impute_wide(L.to_matrix(panel, names), names, "obs_date")
+
+
+@query("d13_forest_portfolio")
+def forest_portfolio(spark, root):
+    return M.rows_to_long(forest.forest_impute(vectors(spark, root)))
 
 
 PAIR = """covar_pop({x}, {y}) / nullif(stddev_pop(CASE WHEN {y} IS NOT NULL THEN {x} END)
@@ -210,9 +215,9 @@ def matrix_completion_summary(spark, root):
     uses=["comp"],
 )
 def forest_kept_cells(spark, root):
-    """Every observed cell survives the forest imputation and no cell stays empty; two rounds show it."""
+    """Every observed cell survives the forest imputation and no cell stays empty."""
     panel = A.competitor_panel(spark, root).select("entity", "obs_date", F.col("price").alias("seen"))
-    filled = L.to_long(mice_forest(spark, root, rounds=2), ["obs_date"])
+    filled = L.to_long(mice_forest(spark, root), ["obs_date"])
     return (
         filled.join(panel, ["entity", "obs_date"], "left")
         .groupBy("entity")
@@ -223,3 +228,28 @@ def forest_kept_cells(spark, root):
             F.count_if(F.col("price").isNull()).cast("int").alias("n_empty"),
         )
     )
+
+
+@query(
+    "d13_forest_portfolio_cells",
+    sql="""SELECT focal_id, entity, count(*) AS n, count(price) AS n_observed, count(price) AS n_kept,
+        0::BIGINT AS n_empty, 0::BIGINT AS n_outside FROM cells GROUP BY 1, 2""",
+    uses=["cells"],
+)
+def forest_portfolio_cells(spark, root):
+    """Observed cells stay, no cell stays empty, and every filled cell lies between the observed ones of its column."""
+    before = vectors(spark, root)
+    was = M.rows_to_long(before).withColumnRenamed("price", "was").where(F.col("entity") != "base_rate")
+    span = was.groupBy("focal_id", "entity").agg(F.min("was").alias("low"), F.max("was").alias("high"))
+    both = was.join(M.rows_to_long(forest.forest_impute(before)), ["focal_id", "obs_date", "entity"])
+    return (
+        both.join(span, ["focal_id", "entity"])
+        .groupBy("focal_id", "entity")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count("was").alias("n_observed"),
+            F.count_if(F.col("was") == F.col("price")).alias("n_kept"),
+            F.count_if(F.col("price").isNull()).alias("n_empty"),
+            F.count_if(~F.col("price").between(F.col("low") - 1e-6, F.col("high") + 1e-6)).alias("n_outside"),
+        )
+    )

@@ -1,4 +1,4 @@
-"""Matrix imputation: chained ridge, low rank, nearest neighbours, chained forest.
+"""Matrix imputation: chained ridge, low rank, nearest neighbours (the chained forest is in ``forest``).
 
 Input is the row-vector form ``(focal_id, obs_date, columns, row)`` with NULL
 for missing cells.
@@ -456,66 +456,3 @@ def knn_impute(rows: DataFrame, k: int = 5, tile: int = TILE) -> DataFrame:
             ).alias("row"),
         )
     )
-
-
-# --- chained forest ----------------------------------------------------------------------
-
-
-def mice_rf(
-    wide: DataFrame,
-    cols: list[str],
-    rounds: int = 10,
-    trees: int = 10,
-    depth: int = 30,
-    seed: int = 42,
-    tol: float = 1e-3,
-) -> DataFrame:
-    """Chained imputation of a wide matrix with Spark ML random forests.
-
-    Mean start, columns with fewest gaps first, at most ``rounds`` rounds; every
-    split may use every column and trees grow to the depth Spark allows.  One
-    forest is trained distributed per column and round; the written copy after
-    each round keeps the lineage short.
-    """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import RandomForestRegressor
-
-    profile = wide.agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
-        *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
-        F.count(F.lit(1)).alias("n"),
-        F.greatest(F.lit(0.0), *[F.max(F.abs(c)) for c in cols]).alias("largest"),
-    ).first()
-    gaps = {i: profile["n"] - profile[f"n_{i}"] for i in range(len(cols))}
-    order = sorted((i for i in gaps if gaps[i] and profile[f"n_{i}"]), key=lambda i: (gaps[i], i))
-    ids = [c for c in wide.columns if c not in cols]
-    state = wide.select(
-        *ids,
-        *[F.col(c).isNull().alias(f"_miss_{i}") for i, c in enumerate(cols)],
-        *[F.coalesce(F.col(c), F.lit(profile[f"m_{i}"])).alias(f"_v{i}") for i, c in enumerate(cols)],
-    )
-    for _ in range(rounds):
-        state = state.withColumns({f"_b{i}": F.col(f"_v{i}") for i in order})
-        for i in order:
-            others = [f"_v{j}" for j in range(len(cols)) if j != i]
-            assembler = VectorAssembler(inputCols=others, outputCol="_x")
-            forest = RandomForestRegressor(
-                featuresCol="_x",
-                labelCol=f"_v{i}",
-                predictionCol="_pred",
-                numTrees=trees,
-                maxDepth=depth,
-                featureSubsetStrategy="all",
-                seed=seed,
-            )
-            table = assembler.transform(state)
-            model = forest.fit(table.where(~F.col(f"_miss_{i}")))
-            filled = F.when(F.col(f"_miss_{i}"), F.col("_pred")).otherwise(F.col(f"_v{i}"))
-            state = model.transform(table).withColumn(f"_v{i}", filled).drop("_x", "_pred")
-        state = cut(state)
-        moves = [F.max(F.abs(F.col(f"_v{i}") - F.col(f"_b{i}"))) for i in order]
-        moved = state.agg(F.greatest(F.lit(0.0), F.lit(0.0), *moves)).first()[0]
-        state = state.drop(*[f"_b{i}" for i in order])
-        if moved < tol * profile["largest"]:
-            break
-    return state.select(*ids, *[F.col(f"_v{i}").alias(c) for i, c in enumerate(cols)])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import day, design_rows, matrix_of, matrix_rows
 from pricepanel.functions.calendar import INSTRUMENTS, with_instruments
-from pricepanel.operators import gram as G, matrix as M, quality as Q, regress as R, solve as S, validate as V
+from pricepanel.operators import forest, gram as G, matrix as M, quality as Q, regress as R, solve as S, validate as V
 from pricepanel.plans import causal
 
 
@@ -304,15 +304,65 @@ def test_imputation_beats_column_mean(spark, method):
     assert np.abs(got - truth)[mask].mean() < np.abs(mean - truth)[mask].mean()
 
 
-def test_forest_fills_and_keeps(spark):
+def grown(x, y, w, row, depth):
+    """Prediction of one tree for one row, by trying every split of every node."""
+    mean = (w * y).sum() / w.sum()
+    loss = (w * (y - mean) ** 2).sum()
+    best = None
+    for j in range(x.shape[1]):
+        known = np.unique(x[w > 0, j])
+        for low, high in zip(known, known[1:]):
+            left = x[:, j] <= (low + high) / 2
+            parts = [(w[s] * (y[s] - (w[s] * y[s]).sum() / w[s].sum()) ** 2).sum() for s in (left, ~left)]
+            if best is None or sum(parts) < best[0] - 1e-9 * loss:
+                best = (sum(parts), j, (low + high) / 2)
+    if best is None or depth == 0 or loss < 1e-12:
+        return mean
+    _, j, cut = best
+    side = x[:, j] <= cut if row[j] <= cut else x[:, j] > cut
+    return grown(x[side], y[side], w[side], row, depth - 1)
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_trees_grow_by_the_best_splits(depth):
+    rng = np.random.default_rng(depth)
+    x, asked = rng.normal(size=(40, 3)), rng.normal(size=(15, 3))
+    x[:, 2] = np.round(x[:, 2])  # ties
+    y = 2 * x[:, 0] - x[:, 1] ** 2 + rng.normal(size=40)
+    bags = np.stack([np.bincount(rng.integers(0, 40, 40), minlength=40) for _ in range(4)])
+    want = [np.mean([grown(x[b > 0], y[b > 0], b[b > 0], row, depth) for b in bags]) for row in asked]
+    assert np.allclose(forest.bagged_prediction(x, y, bags, asked, depth), want)
+    # Grown out, a tree gives back every sample of its bag.
+    assert np.allclose(forest.bagged_prediction(x, y, np.ones((2, 40), int), x), y)
+
+
+def test_forest_of_constant_and_single_samples():
+    x, y = np.ones((5, 2)), np.arange(5.0)
+    assert np.allclose(forest.bagged_prediction(x, y, np.ones((3, 5), int), x[:2]), 2.0)
+    assert np.allclose(forest.bagged_prediction(x[:1], y[:1] + 7, np.ones((2, 1), int), x), 7.0)
+
+
+def test_forest_fills_every_focal_and_keeps(spark):
     truth, m, mask = holes(5, n=80, p=3)
     rows = [(day(i), *[None if np.isnan(v) else float(v) for v in m[i]]) for i in range(80)]
     df = spark.createDataFrame(rows, "obs_date DATE, a DOUBLE, b DOUBLE, c DOUBLE")
-    out = M.mice_rf(df, ["a", "b", "c"], rounds=2, depth=5).orderBy("obs_date").collect()
+    out = forest.forest_impute_wide(df, ["a", "b", "c"], "obs_date", rounds=3).orderBy("obs_date").collect()
     got = np.array([[r["a"], r["b"], r["c"]] for r in out])
     assert np.allclose(got[~mask], m[~mask])
     mean = np.where(mask, np.nanmean(m, 0), m)
     assert np.abs(got - truth)[mask].mean() < np.abs(mean - truth)[mask].mean()
+    # Partitioning does not matter, and a focal does not see the others.
+    both = matrix_rows(spark, m).unionByName(matrix_rows(spark, m[:50]).withColumn("focal_id", F.lit("other")))
+    a, b = ({(r["focal_id"], r["obs_date"]): r["row"] for r in forest.forest_impute(both.repartition(k), rounds=2).collect()} for k in (1, 5))
+    assert a == b and len(a) == 130
+    alone = forest.forest_impute(matrix_rows(spark, m), rounds=2).collect()
+    assert all(a[r["focal_id"], r["obs_date"]] == r["row"] for r in alone)
+
+
+def test_forest_leaves_empty_columns(spark):
+    m = np.array([[1.0, np.nan, np.nan], [2.0, np.nan, 5.0], [np.nan, np.nan, 6.0]])
+    got = matrix_of(forest.forest_impute(matrix_rows(spark, m)))
+    assert np.isnan(got[:, 1].astype(float)).all() and not np.isnan(got[:, [0, 2]].astype(float)).any()
 
 
 def test_pair_correlations_match_pairwise_numpy(spark):
