@@ -326,14 +326,14 @@ def grown(x, y, w, row, depth):
 @pytest.mark.parametrize("depth", [1, 2, 3])
 def test_trees_grow_by_the_best_splits(depth):
     rng = np.random.default_rng(depth)
-    x, asked = rng.normal(size=(40, 3)), rng.normal(size=(15, 3))
+    x, asked = rng.normal(size=(200, 3)), rng.normal(size=(15, 3))
     x[:, 2] = np.round(x[:, 2])  # ties
-    y = 2 * x[:, 0] - x[:, 1] ** 2 + rng.normal(size=40)
-    bags = np.stack([np.bincount(rng.integers(0, 40, 40), minlength=40) for _ in range(4)])
+    y = 2 * x[:, 0] - x[:, 1] ** 2 + rng.normal(size=200)
+    bags = np.stack([np.bincount(rng.integers(0, 200, 200), minlength=200) for _ in range(4)])
     want = [np.mean([grown(x[b > 0], y[b > 0], b[b > 0], row, depth) for b in bags]) for row in asked]
     assert np.allclose(forest.bagged_prediction(x, y, bags, asked, depth), want)
     # Grown out, a tree gives back every sample of its bag.
-    assert np.allclose(forest.bagged_prediction(x, y, np.ones((2, 40), int), x), y)
+    assert np.allclose(forest.bagged_prediction(x, y, np.ones((2, 200), int), x), y)
 
 
 def test_forest_of_constant_and_single_samples():
