@@ -204,3 +204,45 @@ def ks_segments(spark, root):
     rows = A.focal_rows(spark, root).withColumn("early", F.col("obs_date") < "1998-01-01")
     out = ks_two_sample(rows, "price", "early", ["segment"])
     return out.withColumn("ks_statistic", F.round("ks_statistic", 6))
+
+
+# Lattice paths as a walk along i + j = k, weighted so that no count overflows; list slot i + 1 holds point (i, k - i).
+view(
+    "ks_by_year",
+    ["comp_dense", "decay_filled"],
+    """SELECT entity, year, CAST(max(na) AS BIGINT) AS n, CAST(max(nb) AS BIGINT) AS m, max(abs(ca / na - cb / nb)) AS d
+       FROM (SELECT entity, year, sum(a) OVER w AS ca, sum(b) OVER w AS cb, sum(a) OVER v AS na, sum(b) OVER v AS nb
+         FROM (SELECT entity, year, price, count(*) FILTER (s) AS a, count(*) FILTER (NOT s) AS b FROM (
+             SELECT entity, year(obs_date) AS year, price, true AS s FROM comp_dense WHERE price IS NOT NULL
+             UNION ALL SELECT entity, year(obs_date), price, false FROM decay_filled WHERE price IS NOT NULL)
+           GROUP BY 1, 2, 3)
+         WINDOW w AS (PARTITION BY entity, year ORDER BY price), v AS (PARTITION BY entity, year))
+       GROUP BY 1, 2""",
+)
+
+
+@query(
+    "j3_ks_exact",
+    sql="""SELECT * FROM (WITH RECURSIVE walk AS (
+        SELECT entity, year, n, m, d, CAST(round(d * n * m) AS BIGINT) AS h, 0::BIGINT AS k,
+               list_transform(range(n + 1), lambda i: CASE WHEN i = 0 AND d > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS w
+        FROM ks_by_year WHERE n > 0 AND m > 0
+        UNION ALL
+        SELECT entity, year, n, m, d, h, k + 1, list_transform(range(n + 1), lambda i:
+            CASE WHEN i > k + 1 OR k + 1 - i > m OR abs(i * m - (k + 1 - i) * n) >= h THEN 0.0::DOUBLE
+            ELSE w[i + 1] * m / (n + m) + CASE WHEN i > 0 THEN w[i] * n / (n + m) ELSE 0.0::DOUBLE END END)
+        FROM walk WHERE k < n + m),
+      stirling AS (SELECT entity, year, n, m, d, w[n + 1] AS staying,
+          exp(lgamma(n + m + 1) - lgamma(n + 1) - lgamma(m + 1) + n * ln(n / (n + m)) + m * ln(m / (n + m))) AS every
+        FROM walk WHERE k = n + m)
+      SELECT entity, CAST(year AS INTEGER) AS year, n AS n_first, m AS n_second, round(d, 6) AS ks_statistic,
+             abs(round(greatest(0, least(1, 1 - staying / every)), 6)) AS ks_pvalue FROM stirling)""",
+    uses=["ks_by_year"],
+)
+def ks_exact(spark, root):
+    pre, post = (d.withColumn("year", F.year("obs_date")) for d in before_after(spark, root))
+    out = Q.ks_2samp(pre, post, ["entity", "year"], exact=True).where("n_first > 0 AND n_second > 0")
+    return out.select(
+        "entity", "year", "n_first", "n_second",
+        F.round("ks_statistic", 6).alias("ks_statistic"), F.round("ks_pvalue", 6).alias("ks_pvalue"),
+    )

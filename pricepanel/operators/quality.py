@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pricepanel.functions.stats import kolmogorov_p, null_count
-from pricepanel.lineage import cut
+from pricepanel.functions.stats import exact_kolmogorov_p, kolmogorov_p, null_count
+from pricepanel.lineage import cut, ship
 from pricepanel.operators.align import semi_align, top_k
 from pricepanel.operators.quantile import exact_quantiles, ks_two_sample
 
@@ -68,10 +68,15 @@ def dist_delta(
     )
 
 
-def ks_2samp(pre: DataFrame, post: DataFrame, keys: list[str], value: str = "price") -> DataFrame:
-    """KS statistic, asymptotic p-value and the 5 % verdict per group."""
+def ks_2samp(
+    pre: DataFrame, post: DataFrame, keys: list[str], value: str = "price", exact: bool = False
+) -> DataFrame:
+    """KS statistic, p-value (asymptotic, or exact by counting lattice paths) and the 5 % verdict per group."""
     out = ks_two_sample(stacked(pre, post, keys, value), value, "is_pre", keys)
-    p = kolmogorov_p(F.col("ks_statistic"), F.col("n_first"), F.col("n_second"))
+    if exact:
+        ship(pre.sparkSession)
+    by = exact_kolmogorov_p if exact else kolmogorov_p
+    p = by(F.col("ks_statistic"), F.col("n_first"), F.col("n_second"))
     return out.withColumn("ks_pvalue", p).withColumn("ks_significant", F.col("ks_pvalue") <= 0.05)
 
 
@@ -81,6 +86,7 @@ def validate_imputation(
     keys: list[str],
     value: str = "price",
     on: tuple[str, ...] | None = ("obs_date", "entity"),
+    exact: bool = False,
 ) -> DataFrame:
     """One graded row per group: missing counts, distribution deltas, KS test, grade."""
     if on:
@@ -91,7 +97,7 @@ def validate_imputation(
     out = (
         missing_delta(pre, post, keys, value)
         .join(dist_delta(pre, post, keys, value), keys)
-        .join(ks_2samp(pre, post, keys, value), keys)
+        .join(ks_2samp(pre, post, keys, value, exact), keys)
     )
     return grade(out)
 

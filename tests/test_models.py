@@ -1,4 +1,5 @@
 import math
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import day, design_rows, matrix_of, matrix_rows
 from pricepanel.functions.calendar import INSTRUMENTS, with_instruments
+from pricepanel.functions.stats import lattice_tail
 from pricepanel.operators import forest, gram as G, matrix as M, quality as Q, regress as R, solve as S, validate as V
 from pricepanel.plans import causal
 
@@ -371,3 +373,20 @@ def test_pair_correlations_match_pairwise_numpy(spark):
         a, b = m[:, r["i"]], m[:, r["j"]]
         ok = ~np.isnan(a) & ~np.isnan(b)
         assert math.isclose(r["correlation"], np.corrcoef(a[ok], b[ok])[0, 1], rel_tol=1e-8)
+
+
+def test_exact_ks_counts_lattice_paths():
+    for n, m in [(1, 1), (2, 5), (4, 4), (5, 3), (6, 5), (5, 6)]:
+        for h in range(n * m + 2):
+            hit = 0
+            for up in combinations(range(n + m), n):
+                at, out = [0, 0], h <= 0
+                for k in range(n + m):
+                    at[k not in up] += 1
+                    out |= abs(at[0] * m - at[1] * n) >= h
+                hit += out
+            assert math.isclose(lattice_tail(n, m, h), hit / math.comb(n + m, n), abs_tol=1e-12)
+    # Equal samples of n: the classical 2 * C(2n, n - k) - ... series; far tails keep their digits.
+    n, k = 300, 290
+    series = 2 * sum((-1) ** (i + 1) * math.comb(2 * n, n - i * k) for i in range(1, n // k + 1)) / math.comb(2 * n, n)
+    assert math.isclose(lattice_tail(n, n, k * n), series, rel_tol=1e-8)
