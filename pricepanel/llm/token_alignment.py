@@ -6,9 +6,10 @@ tokens into groups, and two tokens are linked where their bytes overlap.
 
 *Diagonal run skipping* (``groups``) walks both arrays at the current index
 shift.  Doubling probes compare whole stretches of the arrays at that shift, so
-one-to-one stretches are jumped; where they differ, the first difference is
-found by halving, the irregular group is closed by stepping the side that is
-behind until both end together, and the shift follows.
+one-to-one stretches are jumped up to their first difference; the irregular
+group there is closed by stepping the side that is behind until both end
+together, and the shift follows.  Long arrays are cut where words end, which
+both sides do, and their parts walked side by side, one numpy call for all.
 
 Pairs are counted in Spark.  A slice of documents is written with its links as
 indices into its list of distinct pairs; the lists of all slices are summed by
@@ -19,7 +20,7 @@ a pair in every document costs one row per slice.
 Encoding keeps a bounded cache of words.  A text is cut before a blank between
 two visible characters, where neither tokenizer joins anything (the A
 tokenizer splits there, no B piece goes on from a visible character into a
-blank; ``Pair`` checks the latter).  A text with a piece whose bytes do not
+blank; ``Pair`` checks the latter).  New words are encoded together, as one text.  A text with a piece whose bytes do not
 come back is encoded whole, which decides.
 
 Defined results: a text that is null or empty, or whose tokens of either side
@@ -32,8 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -49,17 +49,21 @@ from pricepanel.llm.registry import saved
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
 #: Bytes of text in a slice; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Bytes of text whose token arrays are in memory at once.
-WORK_BYTES = 1 << 19
-#: Ends of a stretch that are compared one by one before probes double.
-NEAR = 4
-#: Pieces in each of the two generations of a worker's cache, and the longest piece that it keeps.
-CACHE_PIECES = 100_000
-PIECE_CHARS = 48
-CALL_PIECES = 2048
+WORK_BYTES = 1 << 20
+#: Tokens of a part of an array that is walked beside others.
+LANE = 128
+#: Pieces, and their characters, after which a worker's cache starts anew.
+CACHE_PIECES = 200_000
+CACHE_CHARS = 16 << 20
+CALL_PIECES = 1024
 #: A blank beside white space or at an end of the text.
 _BESIDE_SPACE = re.compile(r"^ |\s | \s| \Z")
+#: Fixed value: how the A vocabulary's tokenizer splits words.
+_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Classes of characters below this one are the same in every version of Unicode.
+_AGREED = "\u0300"
 #: A pair is one number: A id << PAIR_BITS | B id.
 PAIR_BITS = 32
 
@@ -83,52 +87,53 @@ def default_paths() -> tuple[str, str]:
 # -- alignment of end arrays ----------------------------------------------------------------------------------
 
 
-def groups(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index behind the last token of every group, on both sides, by diagonal run skipping."""
-    a, b = np.ascontiguousarray(a_ends, "<i8"), np.ascontiguousarray(b_ends, "<i8")
-    a_raw, b_raw = a.tobytes(), b.tobytes()
-    a_list, b_list = a.tolist(), b.tolist()
-    n, m = len(a_list), len(b_list)
-    runs: list[tuple[int, int, int]] = []  # (a index, b index, length) of stretches whose tokens end together
-    i = j = 0
-    while i < n and j < m:
-        if a_list[i] == b_list[j]:
-            # Doubling probes at the shift j - i; a stretch differs as soon as one of its ends does.
-            most = min(n - i, m - j)
-            length = 1
-            while length < NEAR and length < most and a_list[i + length] == b_list[j + length]:
-                length += 1
-            step = length if length == NEAR else most  # a stretch that ended near its start needs no probes
-            while length < most and step < most:
-                step = min(2 * step, most - length)
-                at_a, at_b = 8 * (i + length), 8 * (j + length)
-                if a_raw[at_a : at_a + 8 * step] == b_raw[at_b : at_b + 8 * step]:
-                    length += step
-                    continue
-                while step > 1:  # the first difference is in this stretch
-                    half = step // 2
-                    at_a, at_b = 8 * (i + length), 8 * (j + length)
-                    if a_raw[at_a : at_a + 8 * half] == b_raw[at_b : at_b + 8 * half]:
-                        length += half
-                        step -= half
-                    else:
-                        step = half
-                break
-            runs.append((i, j, length))
-            i, j = i + length, j + length
-        else:
-            # An irregular group: the side that is behind takes its next token until both end together.
-            x, y = a_list[i], b_list[j]
-            while x != y:
-                if x < y:
-                    i += 1
-                    x = a_list[i]
-                else:
-                    j += 1
-                    y = b_list[j]
-    if not runs:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    first_a, first_b, length = np.array(runs, np.int64).T
+def groups(
+    a_ends: np.ndarray, b_ends: np.ndarray, cuts: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Index behind the last token of every group, on both sides, by diagonal run skipping.
+
+    ``cuts`` are places (numbers of tokens on either side) where both sides are known to end together; the
+    stretches between them are walked side by side.
+    """
+    n, m = len(a_ends), len(b_ends)
+    none = np.zeros(0, np.int64)
+    if n == 0:
+        return none, none
+    cut_a, cut_b = cuts if cuts is not None else (none, none)
+    i, j = np.concatenate([[0], cut_a]), np.concatenate([[0], cut_b])
+    end_a, end_b = np.append(i[1:], n), np.append(j[1:], m)
+    runs = []  # (a index, b index, length) of stretches whose tokens end together
+    while len(i):
+        x, y = a_ends[i], b_ends[j]
+        apart = np.flatnonzero(x != y)
+        # An irregular group: the side that is behind takes its next token until both end together.
+        while len(apart):
+            behind = x[apart] < y[apart]
+            i[apart] += behind
+            j[apart] += ~behind
+            x[apart], y[apart] = a_ends[i[apart]], b_ends[j[apart]]
+            apart = apart[x[apart] != y[apart]]
+        # Doubling probes at the shift j - i; a probe that differs somewhere ends its stretch there.
+        most = np.minimum(end_a - i, end_b - j)
+        length, step = np.ones(len(i), np.int64), 1
+        probed = np.flatnonzero(length < most)
+        while len(probed):
+            ahead = length[probed, None] + np.arange(step)
+            inside = ahead < most[probed, None]
+            ahead = np.where(inside, ahead, 0)
+            same = inside & (a_ends[i[probed, None] + ahead] == b_ends[j[probed, None] + ahead])
+            whole = same.all(axis=1)
+            length[probed] += np.where(whole, step, same.argmin(axis=1))
+            probed = probed[whole]
+            probed = probed[length[probed] < most[probed]]
+            step *= 2
+        runs.append(np.stack([i, j, length]))
+        i, j = i + length, j + length
+        left = (i < end_a) & (j < end_b)
+        i, j, end_a, end_b = i[left], j[left], end_a[left], end_b[left]
+    first_a, first_b, length = np.concatenate(runs, axis=1)
+    order = np.argsort(first_a, kind="stable")
+    first_a, first_b, length = first_a[order], first_b[order], length[order]
     within = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
     return np.repeat(first_a, length) + within + 1, np.repeat(first_b, length) + within + 1
 
@@ -186,6 +191,7 @@ class Pair:
     """Both tokenizers, with the bytes of every id, and a cache of words."""
 
     def __init__(self, path_a: str, path_b: str):
+        import tiktoken
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -199,6 +205,8 @@ class Pair:
             if all(c in level for c in token):
                 self._a_bytes[i] = bytes(level[c] for c in token)
         pieces = [self._b.id_to_piece(i) for i in range(self._b.get_piece_size())]
+        ranks = {token: i for i, token in enumerate(self._a_bytes) if token}
+        self._a_fast = tiktoken.Encoding("a", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
         self._b_bytes = [
             bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(pieces)
@@ -208,30 +216,47 @@ class Pair:
         self.a_sizes = np.array([len(t) for t in self._a_bytes], np.int64)
         self.b_sizes = np.array([len(t) for t in self._b_bytes], np.int64)
         self.decimals = _decimals(max(len(self.a_sizes), len(self.b_sizes)))
-        self._new: dict[str, tuple[bytes, bytes] | None] = {}
-        self._old: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def _encode(self, pieces: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """Ids of both sides as bytes; None where they do not give back a blank and the piece."""
-        wanted = [" " + p for p in pieces]
-        found = (
-            ([e.ids for e in self._a.encode_batch_fast(wanted, add_special_tokens=False)], self._a_bytes),
-            (self._b.encode(pieces, num_threads=1), self._b_bytes),
-        )
-        raw = [w.encode() for w in wanted]
-        whole, sizes = b"".join(raw), list(map(len, raw))
-        same = np.ones(len(raw), bool)
-        sides = []
-        for ids, token in found:
-            flat = list(chain.from_iterable(ids))
-            stops = np.cumsum([0, *map(len, ids)])
-            size = np.concatenate([[0], np.cumsum([len(token[i]) for i in flat])])
-            # Every piece as long as its tokens, and all bytes equal: all pieces are equal.
-            if (np.diff(size[stops]) != sizes).any() or b"".join([token[i] for i in flat]) != whole:
+        self._forget()
+
+    def _encode(self, pieces: list[str], together: bool) -> tuple[list[np.ndarray], np.ndarray]:
+        """Ids of both sides on end with their number per piece, and which pieces' bytes come back on both sides."""
+        raw = [b" " + p.encode() for p in pieces]
+        ends = np.cumsum(list(map(len, raw)))
+        whole, same, out = b"".join(raw), np.ones(len(raw), bool), []
+        # Together, pieces are words of one text, cut where both tokenizers cut.
+        text = " ".join(pieces) if together else ""
+        for one, many, token, size in (
+            (self._a_one, self._a_many, self._a_bytes, self.a_sizes),
+            (self._b_one, self._b_many, self._b_bytes, self.b_sizes),
+        ):
+            flat, good = one(text) if together else [], False
+            if flat:
+                behind = np.cumsum(size[flat])
+                stops = np.searchsorted(behind, ends) + 1
+                good = stops[-1] == len(flat) and (behind[stops - 1] == ends).all()
+            if not good or b"".join([token[i] for i in flat]) != whole:
+                ids = many(pieces)
+                flat = list(chain.from_iterable(ids))
+                stops = np.cumsum(list(map(len, ids)))
                 same &= [b"".join([token[i] for i in x]) == r for x, r in zip(ids, raw)]
-            content, cuts = array("I", flat).tobytes(), (4 * stops).tolist()
-            sides.append([content[lo:hi] for lo, hi in zip(cuts, cuts[1:])])
-        return [pair if ok else None for pair, ok in zip(zip(*sides), same.tolist())]
+            out += [np.array(flat, np.int32), np.diff(stops, prepend=0)]
+        return out, same
+
+    def _a_many(self, pieces: list[str]) -> list[list[int]]:
+        found = self._a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)
+        return [e.ids for e in found]
+
+    def _a_one(self, text: str) -> list[int]:
+        # Where all engines agree on the classes of characters, the faster library gives the same ids.
+        if text.isascii() or max(text) < _AGREED:
+            return self._a_fast.encode_ordinary(" " + text)
+        return self._a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+
+    def _b_many(self, pieces: list[str]) -> list[list[int]]:
+        return self._b.encode(pieces, num_threads=1)
+
+    def _b_one(self, text: str) -> list[int]:
+        return self._b.encode(text)
 
     def _pieces(self, text: str) -> list[str]:
         parts = text.split(" ")
@@ -249,34 +274,62 @@ class Pair:
                 out[-1] = f"{before} {part}"
         return out
 
-    def ids(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both sides per text; empty arrays for texts without tokens."""
-        if len(self._new) > CACHE_PIECES:
-            self._new, self._old = {}, self._new
-        new, old = self._new, self._old
+    def _forget(self) -> None:
+        self._index: dict[str, int] = {}
+        self._chars = 0
+        none = np.zeros(0, np.int64)
+        self._known = [none.astype(np.int32), none, none.astype(np.int32), none, none.astype(bool)]
+
+    def _learn(self, pieces: Iterable[str]) -> None:
+        """Bring ``pieces`` into the cache."""
+        plain, other, index = [], [], self._index
+        for piece in pieces:
+            if piece not in index:
+                # A blank beside a piece's white space would join it.
+                (other if not piece or piece[0].isspace() or piece[-1].isspace() else plain).append(piece)
+        plain.sort(key=lambda p: not p.isascii() and max(p) >= _AGREED)
+        parts = [[known] for known in self._known]
+        for group in (plain, other):
+            for at in range(0, len(group), CALL_PIECES):
+                part = group[at : at + CALL_PIECES]
+                sides, same = self._encode(part, together=group is plain)
+                index.update(zip(part, range(len(index), len(index) + len(part))))
+                self._chars += sum(map(len, part))
+                for column, value in zip(parts, (*sides, same)):
+                    column.append(value)
+        if plain or other:
+            self._known = [np.concatenate(column) for column in parts]
+
+    def ids(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
+        """A ids and B ids of all texts on end; pieces of each text; A ids and B ids of each piece.
+
+        A text without tokens has no pieces.
+        """
+        if len(self._index) > CACHE_PIECES or self._chars > CACHE_CHARS:
+            self._forget()
         split = [self._pieces(t) if t else [] for t in texts]
-        fresh, long = [], {}
-        for piece in set(chain.from_iterable(split)):
-            if piece not in new:
-                if piece in old:
-                    new[piece] = old[piece]
-                else:
-                    fresh.append(piece)
-        for at in range(0, len(fresh), CALL_PIECES):
-            part = fresh[at : at + CALL_PIECES]
-            for piece, found in zip(part, self._encode(part)):
-                (new if len(piece) <= PIECE_CHARS else long)[piece] = found
-        none = np.zeros(0, np.uint32)
-        for text, pieces in zip(texts, split):
-            found = [new[p] if p in new else long[p] for p in pieces] if long else [new[p] for p in pieces]
-            if None in found:
-                whole = self._encode([text])[0]
-                found = [whole] if whole else []
-            if found:
-                a, b = zip(*found)
-                yield np.frombuffer(b"".join(a), np.uint32), np.frombuffer(b"".join(b), np.uint32)
-            else:
-                yield none, none
+        self._learn(set(chain.from_iterable(split)))
+        size = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(self._index.__getitem__, chain.from_iterable(split)), np.int64, size.sum())
+        good = self._known[4][at]
+        if not good.all():
+            # The whole text decides; without tokens it has no pieces.
+            row = np.repeat(np.arange(len(texts)), size)
+            odd = np.unique(row[~good])
+            self._learn({texts[i] for i in odd})
+            by_row = np.split(at, np.cumsum(size)[:-1])
+            for i in odd:
+                whole = self._index[texts[i]]
+                by_row[i] = np.full(int(self._known[4][whole]), whole)
+                size[i] = len(by_row[i])
+            at = np.concatenate(by_row)
+        flat, each = [], []
+        for ids, count in (self._known[:2], self._known[2:4]):
+            length, start = count[at], (np.cumsum(count) - count)[at]
+            behind = np.cumsum(length)
+            flat.append(ids[np.arange(length.sum()) + np.repeat(start - (behind - length), length)].astype(np.int64))
+            each.append(length)
+        return flat[0], flat[1], size, each[0], each[1]
 
 
 _PAIRS: dict[tuple[str, str], Pair] = {}
@@ -296,14 +349,15 @@ class Aligned:
     """Tokens, groups and links of some texts, side by side in flat arrays."""
 
     def __init__(self, pair: Pair, texts: list[str | None]):
-        ids = list(pair.ids(texts))
-        self.n_a = np.array([len(a) for a, _ in ids], np.int64)
-        self.n_b = np.array([len(b) for _, b in ids], np.int64)
-        a = np.concatenate([x for x, _ in ids]).astype(np.int64) if ids else np.zeros(0, np.int64)
-        b = np.concatenate([x for _, x in ids]).astype(np.int64) if ids else np.zeros(0, np.int64)
+        a, b, pieces, a_each, b_each = pair.ids(texts)
+        stops = np.concatenate([[0], np.cumsum(pieces)])
+        a_behind, b_behind = (np.concatenate([[0], np.cumsum(each)]) for each in (a_each, b_each))
+        self.n_a, self.n_b = np.diff(a_behind[stops]), np.diff(b_behind[stops])
+        lanes = np.unique(np.searchsorted(a_behind, np.arange(LANE, len(a), LANE)))
+        lanes = lanes[a_behind[lanes] < len(a)]
         # Both sides of a text have the same bytes, so offsets over all texts stay comparable.
         a_ends, b_ends = np.cumsum(pair.a_sizes[a]), np.cumsum(pair.b_sizes[b])
-        a_cuts, b_cuts = groups(a_ends, b_ends)
+        a_cuts, b_cuts = groups(a_ends, b_ends, (a_behind[lanes], b_behind[lanes]))
         behind = np.cumsum(self.n_a)
         group_end = np.searchsorted(a_cuts, behind, "right")
         self.n_groups = np.diff(group_end, prepend=0)
