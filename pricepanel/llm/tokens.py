@@ -3,16 +3,18 @@
 White space never ends up inside a token of this kind of tokenizer, so a text
 is encoded piece by piece (pieces split at ASCII white space) and a piece that
 occurred before is taken from a bounded cache.  The ids equal those of one
-call over the whole text.
+call over the whole text; a text that names a special token is encoded by such
+a call, as the tokenizer looks for these names first.
 """
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
-from unicodedata import is_normalized
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 
@@ -50,6 +52,11 @@ def _pieces(text: str) -> list[str]:
     return text.split()
 
 
+def _stays_letters(head: str) -> bool:
+    """Letters only, also in lower case and NFC, which may end in a combining mark."""
+    return head.isalpha() and (head.isascii() or normalize("NFC", normalize("NFC", head).lower()).isalpha())
+
+
 class Encoder:
     """``ids(texts)`` gives one uint32 array per text."""
 
@@ -57,8 +64,10 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
-        # The names of special tokens in a text are ordinary characters.
-        self._tokenizer.encode_special_tokens = True
+        names = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        #: What all names start with, up to the first letter; a text without it names none.
+        self._opening = re.match(r"[\W_]*", os.path.commonprefix(names))[0]
+        self._named = re.compile("|".join(map(re.escape, names)) or r"(?!)", re.IGNORECASE)
         self.size = self._tokenizer.get_vocab_size()
         self._new: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
@@ -80,6 +89,10 @@ class Encoder:
         found = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found[0].ids, "<u4")
 
+    def _names_special(self, text: str) -> bool:
+        """Whether a special token's name stands in the text, in any case."""
+        return self._opening in text and self._named.search(text) is not None
+
     def _encode_words(self, words: list[str], tokenizer) -> list[bytes]:
         """Ids of lower-case words of letters: one call for many, cut where words end."""
         found = tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
@@ -106,7 +119,7 @@ class Encoder:
             else:
                 # Letters and the signs behind them are never in one token.
                 head = piece.rstrip(_SIGNS)
-                if head.isalpha():
+                if _stays_letters(head):
                     tails.append((piece, head, piece[len(head) :]))
                     if head not in new:
                         words.append(head)
@@ -130,10 +143,14 @@ class Encoder:
     def ids(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         if len(self._new) > CACHE_PIECES:
             self._new, self._old = {}, self._new
-        split = [_pieces(t or "") for t in texts]
+        whole = {i: self._encode(t) for i, t in enumerate(texts) if t and self._names_special(t)}
+        split = [_pieces(t) if t and i not in whole else [] for i, t in enumerate(texts)]
         long = self._learn(set(chain.from_iterable(split)))
         known = self._new
-        for pieces in split:
+        for i, pieces in enumerate(split):
+            if i in whole:
+                yield whole[i]
+                continue
             if long:
                 found = [known[p] if p in known else long[p] for p in pieces]
             else:
@@ -148,8 +165,6 @@ def encoder(path: str) -> Encoder:
     """One encoder per Python worker and file."""
     if path not in _ENCODERS:
         # A worker is one of several on its machine; it must not start a thread per core.
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]

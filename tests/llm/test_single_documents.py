@@ -151,8 +151,8 @@ def test_credentials_link_weak_secrets_of_any_length():
 
 
 def whole(texts):
+    """Ids by the tokenizer as its file makes it."""
     reference = Tokenizer.from_file(tokens.default_path())
-    reference.encode_special_tokens = True
     return [reference.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
@@ -163,6 +163,25 @@ def test_piecewise_ids_are_those_of_the_whole_text():
         assert [x.tolist() for x in encoder.ids(texts)] == whole(texts)
 
 
+def test_ids_of_random_unicode_and_of_special_names(monkeypatch):
+    rng = random.Random(8)
+    signs = list("abzAZİIıΣσςßéÉ\u0301\u0307\u0345\u0958\u1e9e\u212a\u0130ŉǰΐ日한가\u1100\u1161ᾳΩÅ0129½²٣'.,!?-–— \t\n\x0b\x1c\x85\xa0\u2003\u200b")
+    signs += ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "VERİ.", "क़.", "'ll", "İ"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(1, 25))) for _ in range(20_000)]
+    texts += ["Σ VERİ.", "a b <|endoftext|> c", "x\u0958. \u0301"]
+    encoder = tokens.Encoder(tokens.default_path())
+    got = [x.tolist() for x in encoder.ids(texts)]
+    assert got == whole(texts)
+    # Call by call, with words that earlier calls have seen behind other signs, and with a cache that starts anew.
+    words = ["".join(rng.choice("abcdé") for _ in range(rng.randint(1, 4))) for _ in range(300)]
+    for limit in (tokens.CACHE_PIECES, 50):
+        monkeypatch.setattr(tokens, "CACHE_PIECES", limit)
+        for _ in range(30):
+            some = [" ".join(rng.choice(words) + rng.choice(["", ".", ",", "!!"]) for _ in range(40)) for _ in range(5)]
+            assert [x.tolist() for x in encoder.ids(some)] == whole(some)
+    assert got[-2] == [320, 321, 49407, 322]
+
+
 def test_packing_is_exact_and_fills_windows(spark):
     rows = corpus.messy_rows()
     found = packing.pack(corpus.messy(spark), window=256).collect()
