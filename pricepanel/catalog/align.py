@@ -171,17 +171,16 @@ def densify_portfolio(spark, root):
 
 @query(
     "c10_transpose",
-    sql="""SELECT entity AS name, """
-    + ", ".join(f"round(avg(price) FILTER (weekday = {i}), 4) AS \"{i}\"" for i in range(7))
-    + """ FROM (SELECT entity, isodow(obs_date) - 1 AS weekday, price FROM comp) GROUP BY 1""",
+    sql="SELECT entity AS name, obs_date, price FROM comp WHERE price IS NOT NULL",
     uses=["comp"],
 )
 def transpose(spark, root):
-    """Weekday x entity matrix of mean prices, turned into entity x weekday."""
-    by_day = A.competitor_panel(spark, root).withColumn("weekday", F.weekday("obs_date"))
-    m = L.to_matrix(by_day, L.entity_list(by_day), agg="avg", rows="weekday")
-    out = L.transpose(m, "weekday", list(range(7)))
-    return out.select("name", *[F.round(str(i), 4).alias(str(i)) for i in range(7)])
+    """Date x entity matrix turned into entity x date over the whole date axis, compared cell by cell."""
+    panel = A.competitor_panel(spark, root)
+    m = L.to_matrix(panel, L.entity_list(panel)).withColumn("obs_date", F.col("obs_date").cast("string"))
+    turned = L.transpose(m, "obs_date", L.entity_list(m, "obs_date"))
+    cells = L.to_long(turned, ["name"], "obs_date", "price")
+    return cells.where(F.col("price").isNotNull()).withColumn("obs_date", F.to_date("obs_date"))
 
 
 @query(

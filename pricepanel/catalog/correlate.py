@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from pricepanel.catalog.base import query, view
 from pricepanel.catalog.profile import comp_dense
-from pricepanel.operators import align as L, correlate as R, impute as I, normalise as N
+from pricepanel.catalog.features import vectors
+from pricepanel.operators import align as L, correlate as R, features as X, impute as I, normalise as N
 from pricepanel.operators.impute import both_ways, decayed
 from pricepanel.sources import adapters as A
 
@@ -285,14 +286,65 @@ def post_check(spark, root):
     return out.withColumn("correlation", F.round("correlation", 6))
 
 
+# Every candidate of the in-sample design in long form: same-day prices, their lags, calendar features.
+TEMPORAL = {
+    "is_weekend": "CAST(isodow(obs_date) >= 6 AS INTEGER)",
+    "day_of_year": "dayofyear(obs_date)",
+    "week_of_year": "weekofyear(obs_date)",
+    "week_centered": "wc",
+    "week_squared": "wc * wc",
+    "is_holiday": """CAST(month(obs_date) IN (12, 1) OR (month(obs_date) = 7 AND day(obs_date) <= 7)
+        OR (month(obs_date) = 11 AND day(obs_date) >= 22) AS INTEGER)""",
+    "is_peak_season": "CAST(month(obs_date) IN (6, 7, 8, 12, 1) AS INTEGER)",
+    "is_summer": "CAST(month(obs_date) IN (6, 7, 8) AS INTEGER)",
+} | {
+    f"{f}_{name}": f"{f}(2 * pi() * ({x}) / {period})"
+    for name, x, period in [
+        ("day_of_week", "isodow(obs_date) - 1", 7),
+        ("dow", "isodow(obs_date) - 1", 7),
+        ("month", "month(obs_date)", 12),
+        ("week", "weekofyear(obs_date)", 52),
+        ("day_of_year", "dayofyear(obs_date)", 365),
+    ]
+    for f in ("sin", "cos")
+}
+LAGGED = ", ".join(
+    f"lag(price, {k}) OVER (PARTITION BY focal_id, entity ORDER BY obs_date) AS lag_{k}" for k in range(1, 6)
+)
+view(
+    "kept_dates",
+    ["focal_dates"],
+    """SELECT *, weekofyear(obs_date) - avg(weekofyear(obs_date)) OVER (PARTITION BY focal_id) AS wc FROM (
+         SELECT * FROM focal_dates QUALIFY row_number() OVER (PARTITION BY focal_id ORDER BY obs_date) > 5)""",
+)
+view(
+    "candidate_features",
+    ["cells", "kept_dates"],
+    f"""SELECT focal_id, obs_date, entity AS feature, price AS v FROM cells
+        UNION ALL SELECT focal_id, obs_date, entity || '_' || name, v
+          FROM (UNPIVOT (SELECT focal_id, obs_date, entity, {LAGGED} FROM cells)
+                ON lag_1, lag_2, lag_3, lag_4, lag_5 INTO NAME name VALUE v)
+        UNION ALL SELECT focal_id, obs_date, unnest([{", ".join(f"'{n}'" for n in TEMPORAL)}]),
+          unnest([{", ".join(f"CAST({x} AS DOUBLE)" for x in TEMPORAL.values())}]) FROM kept_dates""",
+)
+
+
 @query(
     "g14_top_corr_features",
-    sql="SELECT focal_id, entity, correlation FROM (SELECT focal_id, entity, round(abs("
-    + CORR.format(x="price", y="base_rate")
-    + """), 6) AS correlation FROM region_panel JOIN portfolio USING (focal_id, obs_date) GROUP BY 1, 2)
-        QUALIFY row_number() OVER (PARTITION BY focal_id ORDER BY correlation DESC NULLS LAST, entity) <= 2""",
-    uses=["region_panel"],
+    sql="""SELECT focal_id, top, rank, feature, correlation FROM (
+          SELECT *, CAST(row_number() OVER (PARTITION BY focal_id ORDER BY correlation DESC NULLS LAST, feature) AS INTEGER)
+            AS rank FROM (SELECT focal_id, feature, round(abs("""
+    + CORR.format(x="v", y="base_rate")
+    + """), 6) AS correlation FROM candidate_features JOIN kept_dates USING (focal_id, obs_date)
+            WHERE v IS NOT NULL AND base_rate IS NOT NULL GROUP BY 1, 2))
+        JOIN (SELECT CAST(unnest([5, 10]) AS INTEGER) AS top) ON rank <= top""",
+    uses=["candidate_features"],
 )
 def top_corr_features(spark, root):
-    ranked = panel_corr(spark, root).withColumn("correlation", F.abs("correlation"))
-    return L.top_k(ranked, 2, "correlation", "entity", keys=["focal_id"])
+    """The 5 and the 10 features of the in-sample design that correlate most with a focal's base rate."""
+    rows = vectors(spark, root)
+    columns = rows.groupBy("focal_id").agg(F.first("columns").alias("columns"))
+    names = X.feature_dictionary(columns, "insample")
+    best = R.top_features(X.insample_design(rows), names, 10)
+    tops = F.explode(F.filter(F.array(F.lit(5), F.lit(10)), lambda k: k >= F.col("rank")))
+    return best.select("focal_id", tops.alias("top"), "rank", "feature", "correlation")

@@ -181,6 +181,15 @@ view(
 )
 
 
+view(
+    "wide_cells",
+    ["cells"],
+    """SELECT d.focal_id, d.obs_date, list_prepend(d.base_rate, x.prices) AS v FROM focal_dates d
+       JOIN (SELECT focal_id, obs_date, list(price ORDER BY entity) AS prices FROM cells GROUP BY 1, 2) x
+       USING (focal_id, obs_date)""",
+)
+
+
 @query(
     "c17_design_vectors",
     sql="""SELECT d.focal_id, d.obs_date, list_prepend(d.base_rate, x.prices) AS row

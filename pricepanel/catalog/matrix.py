@@ -126,15 +126,6 @@ def forest_portfolio(spark, root):
 
 PAIR = """covar_pop({x}, {y}) / nullif(stddev_pop(CASE WHEN {y} IS NOT NULL THEN {x} END)
     * stddev_pop(CASE WHEN {x} IS NOT NULL THEN {y} END), 0)"""
-view(
-    "wide_cells",
-    ["cells"],
-    """SELECT d.focal_id, d.obs_date, list_prepend(d.base_rate, x.prices) AS v FROM focal_dates d
-       JOIN (SELECT focal_id, obs_date, list(price ORDER BY entity) AS prices FROM cells GROUP BY 1, 2) x
-       USING (focal_id, obs_date)""",
-)
-
-
 @query(
     "g12_pair_correlations",
     sql="SELECT focal_id, i, j, round("

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pricepanel.catalog.base import query, view
 from pricepanel.catalog.correlate import region_pairs
+from pricepanel.catalog.features import vectors
 from pricepanel.functions.calendar import INSTRUMENTS, with_instruments
 from pricepanel.functions.stats import stars
 from pricepanel.operators import align as L, gram as G, regress as R
@@ -69,24 +70,17 @@ def gram(spark, root):
 
 @query(
     "h0_gram_vectors",
-    sql="""SELECT r.focal_id, 0 AS i, 0 AS j, round(count(*) * var_pop(base_rate) / 1e12, 6) AS value
-        FROM focal_dates r GROUP BY 1""",
-    uses=["focal_dates"],
+    sql="""SELECT focal_id, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j,
+          round(count(*) * covar_pop(coalesce(v[i + 1], 0), coalesce(v[j + 1], 0)) / 1e12, 6) + 0.0 AS value
+        FROM (SELECT focal_id, v, i, unnest(range(i, len(v))) AS j
+              FROM (SELECT focal_id, v, unnest(range(len(v))) AS i FROM wide_cells)) GROUP BY 1, 2, 3""",
+    uses=["wide_cells"],
 )
 def gram_vectors(spark, root):
-    """Arrow partials of the row vectors; the base-rate variance is compared."""
-    from pricepanel.catalog.features import vectors
-
-    rows = vectors(spark, root).select("focal_id", F.slice("row", 1, 1).alias("v"))
-    partials = G.vector_gram(rows, ["focal_id"], "v")
-    n, m = F.col("n"), F.get("mean", F.lit(0))
-    # Merge of partials: within-part products plus spread of the part means.
-    merged = partials.groupBy("focal_id").agg(
-        (F.sum(F.get("m2", F.lit(0))) + F.sum(n * m * m) - F.sum(n * m) * F.sum(n * m) / F.sum(n)).alias("value")
-    )
-    return merged.select(
-        "focal_id", F.lit(0).alias("i"), F.lit(0).alias("j"), F.round(F.col("value") / 1e12, 6).alias("value")
-    )
+    """Arrow partials of the whole row vectors, merged: every cell of every focal."""
+    partials = G.vector_gram(vectors(spark, root).withColumnRenamed("row", "v"), ["focal_id"], "v")
+    cells = G.gram_table(G.merged(partials, ["focal_id"]), ["focal_id"])
+    return cells.withColumn("value", F.round(F.col("value") / 1e12, 6) + F.lit(0.0))
 
 
 @query("h1_stage1")

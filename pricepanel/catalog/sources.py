@@ -49,16 +49,15 @@ def indexed_csv(spark, root):
 
 @query(
     "a4_transposed_matrix",
-    sql="""SELECT entity, CAST(date_trunc('month', obs_date) AS DATE) AS obs_date, min(price) AS price
-        FROM comp GROUP BY 1, 2""",
+    sql="SELECT entity, obs_date, price FROM comp WHERE price IS NOT NULL",
     uses=["comp"],
 )
 def transposed_matrix(spark, root):
-    """Monthly minimum per entity, stored with months as column names."""
-    monthly = A.competitor_panel(spark, root).withColumn("month", F.trunc("obs_date", "month").cast("string"))
-    months = L.entity_list(monthly, "month")
+    """One row per entity, stored with every date as a column name."""
+    dated = A.competitor_panel(spark, root).withColumn("day", F.col("obs_date").cast("string"))
+    days = L.entity_list(dated, "day")
     path = scratch_path(spark, "transposed")
-    io.write_panel(L.to_matrix(monthly, months, rows="entity", columns="month"), path, "csv")
+    io.write_panel(L.to_matrix(dated, days, rows="entity", columns="day"), path, "csv")
     return io.read_transposed(spark, path).where(F.col("price").isNotNull())
 
 

@@ -230,3 +230,18 @@ def post_check(
         corr.alias("correlation"),
         F.coalesce(F.abs(corr) < 0.2, F.lit(False)).alias("warning"),
     )
+
+
+def top_features(design: DataFrame, names: DataFrame, k: int, keys: list[str] = ["focal_id"]) -> DataFrame:
+    """(keys, rank, feature, correlation): the ``k`` features that correlate most with the target, by amount.
+
+    ``design`` has (keys, y, x) and ``names`` (keys, features), named in the order of ``x``.  A feature counts
+    on the rows where it is known; equal correlations (to 6 digits) go by name, features that do not vary last.
+    """
+    cells = design.select(*keys, "y", F.posexplode("x").alias("pos", "v"))
+    known = F.col("v").isNotNull() & F.col("y").isNotNull()
+    by_feature = cells.where(known).groupBy(*keys, "pos").agg(F.round(F.abs(safe_corr(F.col("v"), F.col("y"))), 6).alias("correlation"))
+    feature = names.select(*keys, F.posexplode("features.feature").alias("pos", "feature"))
+    first = Window.partitionBy(*keys).orderBy(F.col("correlation").desc_nulls_last(), "feature")
+    ranked = by_feature.join(feature, [*keys, "pos"]).withColumn("rank", F.row_number().over(first))
+    return ranked.where(F.col("rank") <= k).select(*keys, "rank", "feature", "correlation")

@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pricepanel.lineage import ship
+from pricepanel.lineage import ship, spread
 
 # Partials held by one task before it emits them (number of doubles).
 _FLUSH_AT = 4_000_000
@@ -122,6 +122,18 @@ def vector_gram(
     return df.select(*columns).mapInPandas(reduce_batches, schema)
 
 
+def merged(partials: DataFrame, keys: list[str]) -> DataFrame:
+    """One (keys, n, mean, m2) row per key from the partials of ``vector_gram``."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        n, mean, m2 = merge(unpack(r.n, r.mean, r.m2) for r in pdf.itertuples(index=False))
+        return pdf.iloc[:1].assign(n=n, mean=[mean], m2=[m2.ravel()])
+
+    ship(partials.sparkSession)
+    chosen = partials.select(*keys, "n", "mean", "m2")
+    return spread(chosen, keys).groupBy(*keys).applyInPandas(run, chosen.schema)
+
+
 def unpack(row_n, row_mean, row_m2):
     """(n, mean, m2 matrix) of one aggregate row."""
     mean = np.asarray(row_mean, dtype=float)
