@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pricepanel.catalog.base import query, view
 from pricepanel.catalog.profile import comp_dense
 from pricepanel.catalog.features import vectors
-from pricepanel.operators import align as L, correlate as R, features as X, impute as I, normalise as N
+from pricepanel.catalog.matrix import market_long, market_rows
+from pricepanel.lineage import cut
+from pricepanel.operators import align as L, correlate as R, features as X, forest, matrix as M, normalise as N
 from pricepanel.operators.impute import both_ways, decayed
 from pricepanel.sources import adapters as A
 
@@ -175,29 +177,59 @@ def panel_corr(spark, root):
     return out.withColumn("correlation", F.round("correlation", 6))
 
 
-METHODS = ["two_way", "decay", "mean"]
 view(
     "candidates",
     ["comp_dense", "two_way", "decay_filled", "focal"],
-    """SELECT b.entity, b.obs_date, b.price, t.price AS two_way, d.price AS decay,
-              coalesce(b.price, avg(b.price) OVER (PARTITION BY b.entity)) AS mean
+    """SELECT b.entity, b.obs_date, b.price, t.price AS two_way, d.price AS decay
        FROM comp_dense b JOIN two_way t USING (entity, obs_date) JOIN decay_filled d USING (entity, obs_date)""",
 )
 
 
-def candidates(spark, root):
-    """Original prices and three fills side by side, from one window sort."""
+def filled_both(dense):
+    """Prices as they are, filled both ways and with decay, from one window sort."""
     keys, order = ["entity"], "obs_date"
     here, decay = decayed("price", keys, order)
-    dense = comp_dense(spark, root).select("entity", "obs_date", "price")
-    mean = I.fill_mean(dense.withColumn("mean", F.col("price")), "mean")
     return (
-        mean.withColumn("_rn", here)
+        dense.withColumn("_rn", here)
         .withColumns({"two_way": both_ways("price", keys, order), "decay": decay})
         .drop("_rn")
     )
 
 
+def candidates(spark, root):
+    return filled_both(comp_dense(spark, root).select("entity", "obs_date", "price"))
+
+
+#: Ranked over the masked panel; SQL has no form of the chained forest, so one pair of queries leaves it out.
+METHODS = ["knn", "decay", "baseline"]
+ALL_METHODS = ["knn", "forest", "decay", "baseline"]
+_W = "OVER (PARTITION BY entity ORDER BY obs_date"
+_PAST = f"last_value({{}} IGNORE NULLS) {_W})"
+_NEXT = f"first_value({{}} IGNORE NULLS) {_W} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+view(
+    "rivals",
+    ["knn_filled", "focal"],
+    f"""SELECT g.entity, g.obs_date, g.price, k.price AS knn, g.baseline, g.decay FROM (
+          SELECT entity, obs_date, price, coalesce({_PAST.format("price")}, {_NEXT.format("price")}) AS baseline,
+                 coalesce(price, {_PAST.format("price")} * pow(0.99, rn - {_PAST.format("seen")}),
+                          {_NEXT.format("price")}) AS decay
+          FROM (SELECT *, CASE WHEN price IS NOT NULL THEN rn END AS seen FROM (
+                  SELECT *, row_number() OVER (PARTITION BY entity ORDER BY obs_date) AS rn FROM masked_grid))) g
+        JOIN knn_filled k USING (entity, obs_date)""",
+)
+
+
+def rivals(spark, root, methods):
+    """The masked panel and what each method makes of it, side by side; other methods are not run."""
+    rows = market_rows(A.masked_panel(spark, root))
+    out = filled_both(market_long(rows)).withColumnRenamed("two_way", "baseline")
+    if "knn" in methods:
+        out = out.join(market_long(M.knn_impute(rows), "knn"), ["entity", "obs_date"])
+    if "forest" in methods:
+        out = out.join(market_long(forest.forest_impute(rows), "forest"), ["entity", "obs_date"])
+    return out.select("entity", "obs_date", "price", *methods)
+
+
 def base(spark, root):
     return L.base_rate(A.focal_rows(spark, root))
 
@@ -208,10 +240,10 @@ def _with_focal(x: str) -> str:
 
 view(
     "method_corr",
-    ["candidates"],
+    ["rivals"],
     "SELECT entity, "
     + ", ".join(f"{_with_focal(x)} AS {n}" for x, n in [("price", "original")] + [(m, m) for m in METHODS])
-    + " FROM candidates JOIN focal USING (obs_date) GROUP BY 1",
+    + " FROM rivals JOIN focal USING (obs_date) GROUP BY 1",
 )
 view(
     "distortion",
@@ -231,10 +263,17 @@ view(
     uses=["distortion"],
 )
 def corr_distortion(spark, root):
-    out = R.corr_distortion(
-        R.method_correlations(base(spark, root), candidates(spark, root), METHODS), METHODS
-    )
-    return out.select(
+    return ranking(spark, root, METHODS)
+
+
+@query("g9_corr_distortion_all")
+def corr_distortion_all(spark, root):
+    return ranking(spark, root, ALL_METHODS)
+
+
+def ranking(spark, root, methods):
+    found = R.method_correlations(base(spark, root), rivals(spark, root, methods), methods)
+    return R.corr_distortion(found, methods).select(
         "method",
         F.round("mean_distortion", 6).alias("mean_distortion"),
         F.round("max_distortion", 6).alias("max_distortion"),
@@ -243,17 +282,25 @@ def corr_distortion(spark, root):
 
 @query(
     "g10_best_imputation",
-    sql="""SELECT entity, obs_date, m.method, round(CASE m.method WHEN 'two_way' THEN two_way
-          WHEN 'decay' THEN decay ELSE mean END, 3) AS price
-        FROM candidates, (SELECT method FROM distortion ORDER BY mean_distortion, method LIMIT 1) m""",
+    sql="""SELECT entity, obs_date, m.method, round(CASE m.method WHEN 'knn' THEN knn
+          WHEN 'decay' THEN decay ELSE baseline END, 3) AS price
+        FROM rivals, (SELECT method FROM distortion ORDER BY mean_distortion, method LIMIT 1) m""",
     uses=["distortion"],
 )
 def best_imputation(spark, root):
-    c = candidates(spark, root)
-    d = R.corr_distortion(R.method_correlations(base(spark, root), c, METHODS), METHODS)
-    return R.best_imputation(c, d, METHODS).select(
-        "entity", "obs_date", "method", F.round("price", 3).alias("price")
-    )
+    return best(spark, root, METHODS)
+
+
+@query("g10_best_imputation_all")
+def best_imputation_all(spark, root):
+    return best(spark, root, ALL_METHODS)
+
+
+def best(spark, root, methods):
+    # Read by the ranking and by the choice, so written once.
+    c = cut(rivals(spark, root, methods))
+    d = R.corr_distortion(R.method_correlations(base(spark, root), c, methods), methods)
+    return R.best_imputation(c, d, methods).select("entity", "obs_date", "method", F.round("price", 3).alias("price"))
 
 
 @query(

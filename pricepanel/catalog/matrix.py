@@ -80,31 +80,47 @@ KNN = " UNION ALL ".join(
 )
 
 
-@query(
-    "d12_knn_impute",
-    sql=f"""WITH filled AS ({KNN}), means AS (SELECT entity, avg(price) AS m FROM masked GROUP BY 1)
-        SELECT g.obs_date, g.entity, round(coalesce(p.price, f.price, m.m), 4) AS price
-        FROM (SELECT w.obs_date, e.entity FROM wide_masked w, (SELECT DISTINCT entity FROM masked) e) g
-        JOIN means m USING (entity)
-        LEFT JOIN masked p ON p.obs_date = g.obs_date AND p.entity = g.entity
-        LEFT JOIN filled f ON f.obs_date = g.obs_date AND f.entity = g.entity""".replace("WITH filled AS", "SELECT * FROM (WITH filled AS")
-    + ")",
-    uses=["wide_masked"],
+view(
+    "masked_grid",
+    ["wide_masked"],
+    """SELECT w.obs_date, e.entity, p.price FROM wide_masked w CROSS JOIN (SELECT DISTINCT entity FROM masked) e
+       LEFT JOIN masked p ON p.obs_date = w.obs_date AND p.entity = e.entity""",
 )
-def knn_impute(spark, root):
-    panel = A.masked_panel(spark, root)
+view(
+    "knn_filled",
+    ["masked_grid"],
+    f"""SELECT g.obs_date, g.entity, coalesce(g.price, f.price, m.m) AS price FROM masked_grid g
+        JOIN (SELECT entity, avg(price) AS m FROM masked GROUP BY 1) m USING (entity)
+        LEFT JOIN ({KNN}) f ON f.obs_date = g.obs_date AND f.entity = g.entity""",
+)
+
+
+def market_rows(panel):
+    """The whole panel as the rows of one focal."""
     names = L.entity_list(panel)
     m = L.to_matrix(panel, names)
-    rows = m.select(
+    return m.select(
         F.lit("MARKET").alias("focal_id"),
         "obs_date",
         F.array(*[F.struct(F.lit(e).alias("entity"), F.lit("USD").alias("currency")) for e in names]).alias("columns"),
         F.array(*[F.col(f"`{e}`") for e in names]).alias("row"),
     )
-    filled = M.knn_impute(rows)
-    return filled.select(
-        "obs_date", F.inline(F.arrays_zip(F.col("columns.entity").alias("entity"), F.col("row").alias("price")))
-    ).withColumn("price", F.round("price", 4))
+
+
+def market_long(rows, value="price"):
+    return rows.select(
+        "obs_date", F.inline(F.arrays_zip(F.col("columns.entity").alias("entity"), F.col("row").alias(value)))
+    )
+
+
+@query(
+    "d12_knn_impute",
+    sql="SELECT obs_date, entity, round(price, 4) AS price FROM knn_filled",
+    uses=["knn_filled"],
+)
+def knn_impute(spark, root):
+    rows = market_rows(A.masked_panel(spark, root))
+    return market_long(M.knn_impute(rows)).withColumn("price", F.round("price", 4))
 
 
 @query("d12_knn_impute_portfolio")
