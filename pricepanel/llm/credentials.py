@@ -35,17 +35,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 
-#: Weak parts.
+#: Weak parts; their names may have a prefix before an underscore, as in DB_USER or aws_access_key_id.
 LINKED = ("identifier", "weak_secret", "endpoint")
 IDENTIFIER = re.compile(
-    r"""\b(?:user(?:_?name)?|login|account(?:_?id)?|client_?id|app_?id|key_?id|access_?key_?id)"""
+    r"""(?<![A-Za-z0-9])(?:user(?:_?name)?|login|account(?:_?id)?|client_?id|app_?id|key_?id|access_?key_?id)"""
     r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._+-]{3,})""",
     re.I | re.A,
 )
 RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(
     r"""\b(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]+"""
-    r"""|\b(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::\d+)?""",
+    r"""|(?<![A-Za-z0-9])(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::\d+)?""",
     re.I | re.A,
 )
 #: Code points between parts of one scope.
@@ -82,7 +82,8 @@ class _Intervals:
     def near(self, start: int, end: int) -> bool:
         # Those that end at or after start - SCOPE and start at or before end + SCOPE.
         lo, hi = bisect_left(self.ends, start - SCOPE), bisect_right(self.starts, end + SCOPE)
-        return any(e <= start or s >= end for s, e in self.spans[lo : min(hi, lo + 2)]) or hi - lo > 2
+        # One of them ends before this interval, or starts behind it.
+        return lo < bisect_right(self.ends, start) or bisect_left(self.starts, end) < hi
 
     def overlaps(self, start: int, end: int) -> bool:
         i = bisect_right(self.ends, start)
