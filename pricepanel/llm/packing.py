@@ -150,7 +150,7 @@ def pack(
         packer = Packer(window, TaskContext.get().partitionId() << SEQUENCE_BITS)
         rows: list[tuple] = []
         for part in text_slices(batches):
-            ids = encode.ids(part.column("text").to_pylist())
+            ids = encode.ids_of(part.column("text"))
             for doc_id, one in zip(part.column("doc_id").to_pylist(), ids):
                 rows.extend(packer.add(doc_id, np.append(one, np.uint32(end_id))))
             if len(rows) >= 5000:

@@ -73,7 +73,7 @@ def train(docs: DataFrame, path: str, width: int) -> bytes:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         samples = []
         for batch in batches:
-            for ids in tokens.encoder(path).ids(batch.column("text").to_pylist()):
+            for ids in tokens.encoder(path).ids_of(batch.column("text")):
                 samples.append(ids.astype(f"<u{width}").tobytes())
         samples = [s for s in samples if s]
         if samples:
@@ -135,7 +135,7 @@ def write(
 
         size = 0
         for part in text_slices(batches):
-            for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode.ids(part.column("text").to_pylist())):
+            for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode.ids_of(part.column("text"))):
                 whole = np.append(ids, np.uint32(end_id))
                 frame = pack.compress(whole.astype(f"<u{width}").tobytes())
                 doc_ids.append(doc_id)

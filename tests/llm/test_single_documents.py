@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import corpus
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -209,12 +210,30 @@ def test_ids_of_random_unicode_and_of_special_names(monkeypatch):
     assert got == whole(texts)
     # Call by call, with words that earlier calls have seen behind other signs, and with a cache that starts anew.
     words = ["".join(rng.choice("abcdé") for _ in range(rng.randint(1, 4))) for _ in range(300)]
-    for limit in (tokens.CACHE_PIECES, 50):
-        monkeypatch.setattr(tokens, "CACHE_PIECES", limit)
+    for limit in (tokens.POOL_UNITS, 50):
+        monkeypatch.setattr(tokens, "POOL_UNITS", limit)
         for _ in range(30):
             some = [" ".join(rng.choice(words) + rng.choice(["", ".", ",", "!!"]) for _ in range(40)) for _ in range(5)]
             assert [x.tolist() for x in encoder.ids(some)] == whole(some)
     assert got[-2] == [320, 321, 49407, 322]
+    # A long text is encoded in parts, with units too long for the pool in it.
+    monkeypatch.setattr(tokens, "PART_CHARS", 500)
+    long = [" ".join(t for t in texts[:2000] if "<|" not in t), "Ünit" * 400 + " ab. " + "x" * 3000, texts[-2] + " ab" * 400]
+    assert [x.tolist() for t in long for x in encoder.ids([t])] == whole(long)
+
+
+def test_units_are_whole_pieces_or_words_and_the_signs_behind_them():
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abZéßÿ×÷É.,!'1µ日 \n\x1c") for _ in range(rng.randint(0, 20))) for _ in range(3000)]
+    words = tokens.Words(pa.array(texts), tokens.VISIBLE)
+    kinds = tokens._units(words)
+    got = [words.word(i).decode() for i in range(len(words.start))]
+    want = []
+    for piece in (p for t in texts for p in re.split(r"[ \t\n\r\x0b\x0c]+", t) if p):
+        cut = re.fullmatch(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,!]+)", piece)
+        want += cut.groups() if cut else [piece]
+    assert got == want
+    assert all(bool(re.fullmatch(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+", w)) == (k == 1) for w, k in zip(got, kinds))
 
 
 def test_packing_is_exact_and_fills_windows(spark):
