@@ -3,8 +3,9 @@
 A store is a folder with two Parquet tables:
 
 ``dictionary``  one row: dict_hash (SHA-256 of the dictionary), dictionary, width (bytes of an id)
-``segments``    rows of up to SEGMENT_BYTES: shard, segment, dict_hash, doc_ids, n_tokens, offsets
-                (of each document's frame in payload), payload, shard_start (ids before it in its shard)
+``segments``    rows of up to SEGMENT_BYTES: shard, segment, dict_hash, least_id and greatest_id (null without
+                an id), doc_ids, n_tokens, offsets (of each document's frame in payload), payload,
+                shard_start (ids before it in its shard)
 
 Shards are ranges of doc_id in ascending order.  A short document is read by
 decompressing its own frame only.  Segments are written by Spark's own
@@ -46,6 +47,8 @@ _SEGMENTS = pa.schema(
         ("shard", pa.int64()),
         ("segment", pa.int64()),
         ("dict_hash", pa.string()),
+        ("least_id", pa.int64()),
+        ("greatest_id", pa.int64()),
         ("doc_ids", pa.list_(pa.int64())),
         ("n_tokens", pa.list_(pa.int64())),
         ("offsets", pa.list_(pa.int64())),
@@ -54,8 +57,8 @@ _SEGMENTS = pa.schema(
     ]
 )
 _SEGMENTS_DDL = (
-    "shard long, segment long, dict_hash string, doc_ids array<long>, n_tokens array<long>, "
-    "offsets array<long>, payload binary, shard_start long"
+    "shard long, segment long, dict_hash string, least_id long, greatest_id long, doc_ids array<long>, "
+    "n_tokens array<long>, offsets array<long>, payload binary, shard_start long"
 )
 
 
@@ -125,7 +128,9 @@ def write(
         def flush() -> pa.RecordBatch:
             nonlocal segment, start, doc_ids, counts, frames
             offsets = np.cumsum([0, *map(len, frames)])[:-1].tolist()
-            row = [shard, segment, dict_hash, doc_ids, counts, offsets, b"".join(frames), start]
+            known = [i for i in doc_ids if i is not None]
+            span = [min(known, default=None), max(known, default=None)]
+            row = [shard, segment, dict_hash, *span, doc_ids, counts, offsets, b"".join(frames), start]
             made = pa.RecordBatch.from_arrays(
                 [pa.array([v], f.type) for v, f in zip(row, _SEGMENTS)], schema=_SEGMENTS
             )
@@ -169,6 +174,9 @@ def read(spark: SparkSession, folder: str, doc_ids: list[int] | None = None, wit
     bases = totals.select("shard", before.alias("base"))
     wanted = None if doc_ids is None else set(doc_ids)
     if wanted is not None:
+        # The span of ids is compared in the scan, so other segments' payloads are not read.
+        if wanted:
+            segments = segments.filter((F.col("least_id") <= max(wanted)) & (F.col("greatest_id") >= min(wanted)))
         segments = segments.filter(F.arrays_overlap("doc_ids", F.array(*[F.lit(i).cast("long") for i in wanted])))
     ddl = "shard long, doc_id long, local long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
 
