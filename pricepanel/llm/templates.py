@@ -3,13 +3,16 @@
 Every page is parsed into a light element tree; each container's subtree gets
 a hash of its tags and text, counted once per page and host in Spark (partial
 counts first, so a hot host is no hot key).  Subtrees on many different pages
-of their host are deleted, whatever share of a big host those are, as are
-elements whose tag, role or class names say that they are no part of an
-article.  Paragraph-like elements inside the article are never deleted for
-recurring; other subtrees inside it must recur in different articles, so
-copies of an article or a page keep its text.
-
-Defined results: a null page is empty and has the empty text; a null url
+of their host are deleted first, whatever share of a big host those are and
+whatever they are called.  What recurs too seldom to be counted goes by tag,
+role or class name, and then what stands outside the article; each page says
+how many parts each of the three took.  Paragraph-like elements inside the
+article are never deleted for recurring; other subtrees inside it must recur
+in different articles, and what holds an article is not counted, so copies of
+an article or a page keep its text.
+
+Defined results: a form that holds an article or the main heading is the page
+itself and stays; a null page is empty and has the empty text; a null url
 counts as one host; equal pages of a host count as one; tags may be missing,
 unclosed or cut off anywhere.
 """
@@ -74,9 +77,13 @@ _LIMITS = {tag: LIMITS.get(tag, BLOCK - {tag}) for tag in ENDS}
 _ENDED_BY = {name: [tag for tag in ENDS if name in ENDS[tag]] for name in BLOCK | {"option"}}
 #: Elements that are no part of an article's text.
 DROPPED = (RAW | set(
-    "head nav footer aside form button select dialog menu svg math canvas audio video object map search datalist".split()
+    "head nav footer aside button select dialog menu svg math canvas audio video object map search datalist".split()
 ))
 ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
+#: What makes a form more than a form.
+_PAGE_PARTS = {"article", "main", "h1"}
+#: Why an element goes.
+BY_NAME, BY_COUNT = 1, 2
 #: Words of class and id names that say the same.
 NAMES = set(
     "nav navbar navigation menu footer sidebar sidenav aside ad ads advert adverts advertisement advertising "
@@ -91,13 +98,15 @@ PARAGRAPHS = set("p h1 h2 h3 h4 h5 h6 li blockquote pre dt dd td th tr figcaptio
 
 
 class Element:
-    __slots__ = ("tag", "children", "dropped", "content", "parent", "key")
+    __slots__ = ("tag", "children", "dropped", "content", "parent", "key", "holds")
 
-    def __init__(self, tag: str, parent: Element | None, dropped: bool = False, content: bool = False):
+    def __init__(self, tag: str, parent: Element | None, dropped: int = 0, content: bool = False):
         self.tag, self.parent = tag, parent
         self.children: list[Element | str] = []
         self.dropped, self.content = dropped, content
         self.key = 0
+        #: Tags of _PAGE_PARTS below.
+        self.holds: frozenset[str] = frozenset()
 
 
 def _dropped(tag: str, attributes: str, in_article: bool) -> bool:
@@ -176,7 +185,7 @@ def parse(page: str) -> Element:
                 if top.tag == tag:
                     close(top)
         attributes = token[3]
-        made = Element(name, node, _dropped(name, attributes, articles > 0), name in CONTENT)
+        made = Element(name, node, BY_NAME * _dropped(name, attributes, articles > 0), name in CONTENT)
         node.children.append(made)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -191,7 +200,7 @@ def parse(page: str) -> Element:
 
 
 def _hashed(root: Element, host: int) -> list[tuple[Element, bool]]:
-    """Set ``key`` of every element, children first; (element, whether it is inside an article)."""
+    """Set ``key`` and ``holds`` of every element, children first; (element, whether it is inside an article)."""
     order: list[tuple[Element, bool]] = []
     stack = [(root, False)]
     while stack:
@@ -204,9 +213,13 @@ def _hashed(root: Element, host: int) -> list[tuple[Element, bool]]:
         for child in node.children:
             if isinstance(child, Element):
                 parts.append(f"\x01{child.key}")
+                if child.holds or child.tag in _PAGE_PARTS:
+                    node.holds |= child.holds | (_PAGE_PARTS & {child.tag})
             elif text := " ".join(child.split()):
                 parts.append(text)
         node.key = xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass"), host & (2**64 - 1))
+        if node.tag == "form" and not node.holds:
+            node.dropped = BY_NAME
     return order
 
 
@@ -215,10 +228,10 @@ def _signed(key: int) -> int:
 
 
 def _countable(node: Element, inside: bool) -> bool:
-    """Containers and blocks; what a tag or class name drops anyway, and all below it, is not counted."""
-    return node.tag in BLOCK and node.tag not in ("html", "body") and not node.content and not (
-        inside and node.tag in PARAGRAPHS
-    )
+    """Containers and blocks, whatever they are called; not what holds an article, nor an article's paragraphs."""
+    if node.tag not in BLOCK or node.tag in ("html", "body") or node.content:
+        return False
+    return node.holds.isdisjoint(CONTENT) and not (inside and node.tag in PARAGRAPHS)
 
 
 def subtree_keys(page: str, host: int) -> list[tuple[int, int]]:
@@ -226,14 +239,11 @@ def subtree_keys(page: str, host: int) -> list[tuple[int, int]]:
     out: dict[tuple[int, int], None] = {}
     root = parse(page)
     order = _hashed(root, host)
-    gone: set[int] = set()
     around: dict[int, int] = {id(root): root.key}
     for node, inside in order:
         if node is not root:
             around[id(node)] = node.key if node.content else around[id(node.parent)]
-        if node.dropped or id(node.parent) in gone:
-            gone.add(id(node))
-        elif _countable(node, inside):
+        if _countable(node, inside):
             out[_signed(node.key), _signed(around[id(node)])] = None
     return list(out)
 
@@ -255,14 +265,36 @@ def _roots(root: Element) -> list[Element]:
     return [root]
 
 
-def main_text(page: str, host: int, templates: set[int] | frozenset[int]) -> str:
-    """Blocks of the article in page order, one per line."""
+def _taken(root: Element, roots: list[Element]) -> tuple[int, int, int]:
+    """Uppermost parts that go by count, by name, and for being outside ``roots``."""
+    kept = {id(r) for r in roots}
+    above = {id(root)}
+    for node in roots:
+        while node is not None and id(node) not in above:
+            above.add(id(node))
+            node = node.parent
+    counts, stack = [0, 0, 0], [(root, root in roots)]
+    while stack:
+        node, inside = stack.pop()
+        inside = inside or id(node) in kept
+        if node.dropped:
+            counts[0 if node.dropped == BY_COUNT else 1] += 1
+        elif inside or id(node) in above:
+            stack.extend((c, inside) for c in node.children if isinstance(c, Element))
+        else:
+            counts[2] += 1
+    return counts[0], counts[1], counts[2]
+
+
+def main_text(page: str, host: int, templates: set[int] | frozenset[int]) -> tuple[str, int, int, int]:
+    """Blocks of the article in page order, one per line; parts that went by count, by name, and as outside it."""
     root = parse(page)
     order = _hashed(root, host)
     if templates:
         for node, inside in order:
             if _countable(node, inside) and _signed(node.key) in templates:
-                node.dropped = True
+                node.dropped = BY_COUNT
+    roots = _roots(root)
     blocks: list[str] = []
     current: list[str] = []
 
@@ -271,7 +303,7 @@ def main_text(page: str, host: int, templates: set[int] | frozenset[int]) -> str
             blocks.append(text)
         current.clear()
 
-    stack: list = list(reversed(_roots(root)))
+    stack: list = list(reversed(roots))
     while stack:
         node = stack.pop()
         if node is None:
@@ -287,7 +319,7 @@ def main_text(page: str, host: int, templates: set[int] | frozenset[int]) -> str
                 stack.append(None)
             stack.extend(reversed(node.children))
     flush()
-    return "\n".join(blocks)
+    return "\n".join(blocks), *_taken(root, roots)
 
 
 def _host(url: str | None) -> str:
@@ -326,28 +358,35 @@ def _keys(pages: DataFrame) -> DataFrame:
     return pages.mapInArrow(run, "page_id long, host long, subtrees array<long>, places array<long>")
 
 
+_TEXTS = (
+    "page_id long, url string, text string, n_chars long, n_templates long, n_named long, n_outside long"
+)
+
+
 def _texts(pages: DataFrame, shared) -> DataFrame:
     """``shared``: a broadcast set of template keys, or None where each row has its own list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "html"):
             own = None if shared is not None else part.column("templates").to_pylist()
-            texts = []
+            found = []
             for r, (url, page) in enumerate(zip(part.column("url").to_pylist(), part.column("html").to_pylist())):
                 keys = shared.value if own is None else frozenset(own[r] or ())
-                text = main_text(page or "", _host_key(url), keys)
-                texts.append(text.encode("utf-8", "replace").decode())
+                text, *taken = main_text(page or "", _host_key(url), keys)
+                text = text.encode("utf-8", "replace").decode()
+                found.append((text, len(text), *taken))
+            texts, *counts = zip(*found) if found else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("page_id"),
                     part.column("url"),
                     pa.array(texts, pa.string()),
-                    pa.array([len(t) for t in texts], pa.int64()),
+                    *[pa.array(c, pa.int64()) for c in counts],
                 ],
-                names=["page_id", "url", "text", "n_chars"],
+                names=["page_id", "url", "text", "n_chars", "n_templates", "n_named", "n_outside"],
             )
 
-    return pages.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return pages.mapInArrow(run, _TEXTS)
 
 
 def template_keys(keys: DataFrame) -> DataFrame:
@@ -367,7 +406,7 @@ def template_keys(keys: DataFrame) -> DataFrame:
 def extract(
     pages: DataFrame, html_col: str = "html", url: str = "url", id_col: str = "page_id", broadcast_keys: int = BROADCAST_KEYS
 ) -> DataFrame:
-    """One row per page: page_id, url, text, n_chars."""
+    """One row per page: page_id, url, text, n_chars, and the parts that each step took."""
     spark = pages.sparkSession
     ship(spark)
     chosen = _chosen(pages, html_col, url, id_col)

@@ -4,7 +4,8 @@ import importlib.util
 import os
 import random
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
+from xml.etree import ElementTree
 
 import corpus
 import numpy as np
@@ -166,6 +167,56 @@ def load_pipeline():
     return module
 
 
+def test_counting_decides_and_names_take_the_rest(spark, monkeypatch):
+    page = "<form id=f><div class=q1>Part {0}</div><nav>Menu {0}</nav><footer>Foot {1}</footer><article><h1>T {1}</h1>" \
+        "<div class=z9>Offer {0}</div><div>Text {1}</div></article><div>Outside {1}</div></form>"
+    rows = [(i, "http://a.example/", page.format(i % 2, i)) for i in range(12)]
+    rows.append((20, "http://b.example/", page.format(0, 20)))
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r for r in templates.extract(docs).collect()}
+    assert all(found[i]["text"] == f"T {i}\nText {i}" for i in range(12))
+    # On a small host names take what they can, and the count nothing.
+    assert found[20]["text"] == "T 20\nOffer 0\nText 20"
+    assert {tuple(found[i][c] for c in ("n_templates", "n_named", "n_outside")) for i in range(12)} == {(3, 1, 1)}
+    assert tuple(found[20][c] for c in ("n_templates", "n_named", "n_outside")) == (0, 2, 2)
+    monkeypatch.setattr(templates, "MIN_PAGES", 1000)
+    without = {r["page_id"]: r["text"] for r in templates.extract(docs).collect()}
+    assert all(without[i] == f"T {i}\nOffer {i % 2}\nText {i}" for i in range(12))
+
+
+def test_template_counts_against_brute_force(spark):
+    rng = random.Random(11)
+
+    def part(depth):
+        tag = rng.choice(["div", "nav", "section", "footer", "p"])
+        if depth and tag != "p":
+            return f"<{tag}>" + "".join(part(depth - 1) for _ in range(rng.randint(1, 2))) + f"</{tag}>"
+        return f"<{tag}>w{rng.randint(0, 3)}</{tag}>"
+
+    rows = []
+    for i in range(150):
+        article = f"<article><h1>t{rng.randint(0, 40)}</h1>{part(1)}{part(0)}</article>"
+        body = f"{part(2)}<div>{article}</div>{part(1)}"
+        rows.append((i, f"http://h{rng.randint(0, 2)}.example/{i}", f"<html><body>{body}</body></html>"))
+    places = defaultdict(set)
+
+    def walk(node, host, place, inside):
+        content = node.tag == "article"
+        if content:
+            place = ElementTree.tostring(node)
+        elif node.tag not in ("html", "body", "h1") and node.find(".//article") is None and not (inside and node.tag == "p"):
+            places[host, ElementTree.tostring(node)].add(place)
+        for child in node:
+            walk(child, host, place, inside or content)
+
+    for _, url, page in rows:
+        walk(ElementTree.fromstring(page), url.split("/")[2], page, False)
+    want = sum(len(found) >= templates.MIN_PAGES for found in places.values())
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = templates.template_keys(templates._keys(templates._chosen(docs, "html", "url", "page_id")))
+    assert got.count() == want > 20
+
+
 def test_pipeline_against_brute_force(spark, tmp_path):
     pipeline = load_pipeline()
     rng = random.Random(31)
