@@ -240,6 +240,30 @@ def lag_profile(spark, root):
     return X.lag_profile(vectors(spark, root))
 
 
+_LAGGED = ", ".join(f"lag(v, {k}) OVER w AS lag_{k}" for k in X.LAGS)
+_WAVES = ", ".join(
+    f"round({fn}(2 * pi() * {part} / {period}), 9) + 0.0"
+    for part, period in (("(isodow(obs_date) - 1)", 7), ("month(obs_date)", 12), ("dayofyear(obs_date)", 365))
+    for fn in ("sin", "cos")
+)
+
+
+@query(
+    "f11_lagged_rows",
+    sql=f"""SELECT focal_id, obs_date, v AS row, {", ".join(f"lag_{k}" for k in X.LAGS)},
+        [{_WAVES}, CAST(isodow(obs_date) >= 6 AS INTEGER)::DOUBLE] AS temporal
+        FROM (SELECT *, {_LAGGED} FROM wide_cells WINDOW w AS (PARTITION BY focal_id ORDER BY obs_date))
+        WHERE lag_{max(X.LAGS)} IS NOT NULL""",
+    uses=["wide_cells"],
+)
+def lagged_rows(spark, root):
+    """The lagged data set itself: prices of a date, of each lag, and the temporal block."""
+    temporal = F.transform(C.lag_temporal_array(), lambda x: F.round(x, 9) + 0.0)
+    return X.lagged_rows(vectors(spark, root)).select(
+        "focal_id", "obs_date", "row", *[f"lag_{k}" for k in X.LAGS], temporal.alias("temporal")
+    )
+
+
 @query(
     "f13_alpha_grid",
     sql="""SELECT entity, round(list_sum(list_transform(g, lambda a: a)), 6) AS grid_sum, len(g) AS grid_len,
