@@ -90,7 +90,7 @@ class Letters:
         if (code >= _BMP).any():
             far = np.flatnonzero(code >= _BMP)
             is_letter[far] = [chr(c).isalpha() for c in code[far].tolist()]
-        folded = np.where(code < _BMP, lower[low], code).astype(np.uint64)
+        folded = np.where(code < _BMP, lower[low], code)
         self.offsets = np.concatenate([[0], np.cumsum(lengths)])
         n = len(code)
         edge = np.zeros(n + 1, bool)
@@ -103,18 +103,23 @@ class Letters:
         after[:-1] = is_letter[1:]
         self.end = np.flatnonzero(is_letter & (~after | edge[1:])) + 1
         self.first = np.searchsorted(self.start, self.offsets)
-        at = np.flatnonzero(is_letter)
+        folded = folded[is_letter]
         self.letters = self.end - self.start
-        left = np.zeros(n, np.uint64)
-        left[1:] = folded[:-1]
-        left[self.start] = 0
-        right = np.zeros(n, np.uint64)
-        right[:-1] = folded[1:]
-        right[self.end - 1] = 0
-        key = (left[at] << np.uint64(42)) | (folded[at] << np.uint64(21)) | right[at]
-        self.bucket = (mix(key) >> np.uint64(48)).astype(np.int64)
         #: First letter of every word among the letters.
         self.base = np.cumsum(self.letters) - self.letters
+        # The letter, those on its left and right in the word (0: none), in 21 bits each; one after the other,
+        # as these are the largest arrays at work.
+        key = np.zeros(len(folded), np.uint64)
+        key[1:] = folded[:-1]
+        key[self.base] = 0
+        key <<= np.uint64(21)
+        key |= folded
+        key <<= np.uint64(21)
+        right = np.zeros(len(folded), folded.dtype)
+        right[:-1] = folded[1:]
+        right[self.base + self.letters - 1] = 0
+        key |= right
+        self.bucket = (mix(key) >> np.uint64(48)).astype(np.int32)
         self.script = np.where(code[self.start] < _BMP, script[low[self.start]], 0)
         self.row = np.repeat(np.arange(len(texts)), np.diff(self.first))
 

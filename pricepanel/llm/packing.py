@@ -149,7 +149,7 @@ def pack(
         encode = tokens.encoder(path)
         packer = Packer(window, TaskContext.get().partitionId() << SEQUENCE_BITS)
         rows: list[tuple] = []
-        for part in text_slices(batches):
+        for part in text_slices(batches, owner=tokens.OWNER):
             ids = encode.ids_of(part.column("text"))
             for doc_id, one in zip(part.column("doc_id").to_pylist(), ids):
                 rows.extend(packer.add(doc_id, np.append(one, np.uint32(end_id))))

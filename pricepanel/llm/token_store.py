@@ -139,7 +139,7 @@ def write(
             return made
 
         size = 0
-        for part in text_slices(batches):
+        for part in text_slices(batches, owner=tokens.OWNER):
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode.ids_of(part.column("text"))):
                 whole = np.append(ids, np.uint32(end_id))
                 frame = pack.compress(whole.astype(f"<u{width}").tobytes())

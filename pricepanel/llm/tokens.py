@@ -14,13 +14,12 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
 from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pyarrow as pa
 
-from pricepanel.llm.columns import VISIBLE, Words, byte_class
+from pricepanel.llm.columns import VISIBLE, Words, byte_class, kept
 
 #: Name of the default vocabulary file.
 VOCABULARY = "word_bpe_49k.json"
@@ -107,10 +106,7 @@ class Encoder:
         self._opening = re.match(r"[\W_]*", os.path.commonprefix(names))[0]
         self._named = re.compile("|".join(map(re.escape, names)) or r"(?!)", re.IGNORECASE)
         self.size = self._tokenizer.get_vocab_size()
-        #: Ids of known units, and where those of each are: by its hash, start * 2**16 + count.
-        self._pool = np.zeros(1 << 16, "<u4")
-        self._used = 0
-        self._known: dict[int, int] = {}
+        self._forget()
         # Lower-case words of letters need no normalizer and no splitting but at blanks.
         self._bytes = Tokenizer.from_file(path)
         self._bytes.normalizer = None
@@ -125,6 +121,14 @@ class Encoder:
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
 
+    def _forget(self) -> None:
+        """Start with an empty pool."""
+        #: Ids of known units, the units' hashes in order, and where the ids of each are: start * 2**16 + count.
+        self._pool = np.zeros(1 << 16, "<u4")
+        self._used = 0
+        self._known = np.zeros(0, np.uint64)
+        self._places = np.zeros(0, np.int64)
+
     def _encode(self, text: str) -> np.ndarray:
         found = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found[0].ids, "<u4")
@@ -193,13 +197,17 @@ class Encoder:
 
     def _of_slice(self, texts: pa.Array) -> Iterator[np.ndarray]:
         if len(self._known) > POOL_UNITS or self._used > POOL_IDS:
-            self._known, self._used = {}, 0
+            self._forget()
         words = Words(texts, VISIBLE)
         content = words.bytes.tobytes()
         kinds = _units(words) if len(words.start) else np.zeros(0, np.uint8)
         start, end = words.start, words.end
         unique, one, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        places = np.fromiter(map(self._known.get, unique.tolist(), repeat(-1)), np.int64, len(unique))
+        at = np.searchsorted(self._known, unique)
+        places = np.full(len(unique), -1, np.int64)
+        seen = np.flatnonzero(at < len(self._known))
+        seen = seen[self._known[at[seen]] == unique[seen]]
+        places[seen] = self._places[at[seen]]
         short = end[one] - start[one] <= UNIT_BYTES
         fresh = np.flatnonzero((places < 0) & short)
         letters, rest = fresh[kinds[one[fresh]] == 1], fresh[kinds[one[fresh]] != 1]
@@ -207,8 +215,8 @@ class Encoder:
         def read(i: np.ndarray) -> list[bytes]:
             return [content[a:b] for a, b in zip(start[i].tolist(), end[i].tolist())]
 
-        for at in range(0, len(letters), CALL_PIECES):
-            part = letters[at : at + CALL_PIECES]
+        for i in range(0, len(letters), CALL_PIECES):
+            part = letters[i : i + CALL_PIECES]
             found = b" ".join(read(one[part])).decode().lower().split(" ")
             ascii_only = np.fromiter(map(str.isascii, found), bool, len(found))
             for mine, tokenizer in ((ascii_only, self._ascii), (~ascii_only, self._bytes)):
@@ -218,7 +226,8 @@ class Encoder:
         if len(rest):
             found = self._encode_pieces([b.decode() for b in read(one[rest])])
             places[rest] = self._keep(np.concatenate(found), np.array([len(ids) for ids in found]))
-        self._known.update(zip(unique[fresh].tolist(), places[fresh].tolist()))
+        self._places = np.insert(self._places, at[fresh], places[fresh])
+        self._known = np.insert(self._known, at[fresh], unique[fresh])
 
         place = places[which]
         count, source = place & 0xFFFF, place >> 16
@@ -247,11 +256,14 @@ class Encoder:
         return self.ids_of(pa.array(texts, pa.string()))
 
 
+#: The owner of what a worker keeps of this module.
+OWNER = "tokens"
 _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder per Python worker and file."""
+    """One encoder per Python worker and file, until the worker turns to other tasks."""
+    kept(OWNER, _ENCODERS.clear)
     if path not in _ENCODERS:
         # A worker is one of several on its machine; it must not start a thread per core.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
