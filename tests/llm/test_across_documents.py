@@ -263,3 +263,19 @@ def test_shared_passage_whose_seeds_occur_alone_before(spark):
         found = passages.shared_passages(corpus.plain(spark, [" ".join(d) for d in docs])).collect()
         spans = {(r["doc_id"], r["other_doc_id"]): (r["start_word"], r["end_word"], r["other_start"], r["other_end"]) for r in found}
         assert spans[c, b] == (0, 60, 40, 100)
+
+
+def test_shared_passage_beyond_many_documents_with_its_seeds(spark, monkeypatch):
+    """Sixty documents between the two hold parts of the passage, each 30 words of 60: no passages themselves."""
+    rng = random.Random(16)
+    flat = lambda n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(n)]
+    passage = flat(60)
+    parts = [[*flat(20), *passage[i : i + 30], *flat(20)] for i in (0, 30, 15) * 20]
+    docs = [" ".join(d) for d in [*parts, flat(40) + passage, *parts, passage + flat(40)]]
+    monkeypatch.setattr(passages, "BLOCK_MATCHES", 100)
+    # Ids in blocks far apart, and below zero.
+    for ids in (range(len(docs)), [i * 30_011 - 900_000 for i in range(len(docs))]):
+        rows = spark.createDataFrame(list(zip(ids, docs)), "doc_id long, text string")
+        found = passages.shared_passages(rows).collect()
+        spans = {(r["doc_id"], r["other_doc_id"]): (r["start_word"], r["end_word"], r["other_start"], r["other_end"]) for r in found}
+        assert spans[ids[-1], ids[60]] == (0, 60, 40, 100)
