@@ -279,3 +279,43 @@ def test_shared_passage_beyond_many_documents_with_its_seeds(spark, monkeypatch)
         found = passages.shared_passages(rows).collect()
         spans = {(r["doc_id"], r["other_doc_id"]): (r["start_word"], r["end_word"], r["other_start"], r["other_end"]) for r in found}
         assert spans[ids[-1], ids[60]] == (0, 60, 40, 100)
+
+
+def test_shared_passage_after_its_parts_in_the_same_document(spark):
+    """The earlier document holds parts of the passage, 30 words of 60, before the passage itself."""
+    rng = random.Random(17)
+    flat = lambda n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(n)]
+    passage = flat(60)
+    parts = [w for i in (0, 30, 15) for w in (*flat(150), *passage[i : i + 30])]
+    docs = [" ".join(d) for d in (parts + flat(150) + passage, flat(10) + passage)]
+    found = passages.shared_passages(corpus.plain(spark, docs)).collect()
+    assert [(r["start_word"], r["end_word"], r["other_start"], r["other_end"]) for r in found] == [(10, 70, 690, 750)]
+
+
+def test_runs_that_are_dropped_are_no_passages():
+    """Runs of equal words in otherwise different words, at the limits: what a chain of the run alone aligns to."""
+    rng = random.Random(18)
+    kept = dropped = 0
+    for _ in range(4000):
+        size = rng.randint(6, 45)
+        a = np.arange(1, 301, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        b = a.copy()
+        b[:100] += np.uint64(1 << 57)
+        b[100 + size :] += np.uint64(1 << 57)
+        for step, at in ((-1, 99), (1, 100 + size)):
+            # Next to the run up to 4 equal words after each one or two different ones, for some way.
+            most = rng.choice([0, 1, 4, 4])
+            for _ in range(rng.choice([0, 1, 3, 5, 7, 9])):
+                at += step * rng.choice([1, 1, 1, 2])
+                for _ in range(rng.choice([most, most, most, 3, 1])):
+                    b[at] = a[at]
+                    at += step
+        words = passages.Words(pa.array([" ".join(["w"] * 300)]), ALNUM)
+        row, first, last = np.array([0]), np.array([100]), np.array([100 + size - passages.K])
+        sides = [[passages._beside(words, h, row, p)[side] for h in (a, b)] for side, p in ((0, first), (1, last))]
+        hopeful = passages._hopeful(np.array([size]), *sides)[0]
+        seeds = [100, 100 + size - passages.K]
+        found = passages.align(a[100 - 96 : 100 + size + 96], b[100 - 96 : 100 + size + 96], [96, 96 + seeds[1] - 100], [96, 96 + seeds[1] - 100])
+        assert hopeful or not found
+        kept, dropped = kept + bool(found), dropped + (not hopeful)
+    assert kept > 200 and dropped > 200
