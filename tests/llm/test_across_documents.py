@@ -319,3 +319,55 @@ def test_runs_that_are_dropped_are_no_passages():
         assert hopeful or not found
         kept, dropped = kept + bool(found), dropped + (not hopeful)
     assert kept > 200 and dropped > 200
+
+
+def test_seeds_are_packed_and_come_back(spark):
+    """A seed takes 14 bytes at most between the tasks, with its hash, document, place and neighbours."""
+    rng = random.Random(19)
+    texts = [corpus.prose(rng, rng.choice([0, 3, 4, 5, 6, 40, 900])) for _ in range(200)] + ["go on now " * 200, None]
+    ids = [i * 7 - 300 for i in range(len(texts))]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(1)
+    row, position, h = passages.seeds(pa.array(texts))
+    want = Counter(((int(x) >> 48) * 24 >> 16, ids[r], p, int(x) & (1 << 48) - 1) for r, p, x in zip(row.tolist(), position.tolist(), h))
+    rows = passages._dealt(docs, 24).toArrow().to_batches()
+    got = Counter()
+    for batch in rows:
+        for i in range(batch.num_rows):
+            doc, at, tail, near = passages._unpacked([batch.slice(i, 1)])
+            got += Counter(zip([batch.column("bucket")[i].as_py()] * len(doc), doc.tolist(), at.tolist(), tail.tolist()))
+            assert len(near) == len(doc)
+    assert got == want
+    size = sum(len(batch.column(c)[i].as_py()) for batch in rows for c in ("hash", "beside") for i in range(batch.num_rows))
+    steps = sum(len(bytes(batch.column("step")[i].as_py()).strip(b"\0")) for batch in rows for i in range(batch.num_rows))
+    assert size == 10 * len(h) and size + steps <= 14 * len(h)
+
+
+def test_runs_are_looked_at_once_and_whole():
+    """A phrase of 12 words in 30 documents, and a loop: one start for two holders of the phrase; all matches by brute force."""
+    rng = random.Random(20)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    phrase = [word() for _ in range(12)]
+    docs = [[word() for _ in range(30)] + phrase + [word() for _ in range(30)] for _ in range(30)] + [["go", "on"] * 8, ["on", "go"] * 7 + ["x"]]
+    places = defaultdict(list)
+    for d, words in enumerate(docs):
+        for p in range(len(words) - passages.K + 1):
+            places[tuple(words[p : p + passages.K])].append((d, p))
+    shared = [v for v in places.values() if len({d for d, _ in v}) > 1]
+    side = {"before": 0, "after": 0}
+    later = [[{"doc_id": d, "x": p, **side, "apart": False} for d, p in v] for v in shared]
+    earlier = [[{"doc_id": d, "y": p, **side, "single": True} for d, p in v] for v in shared]
+    block = passages._Block([pa.RecordBatch.from_pydict({"later": later, "earlier": earlier})])
+    mine, at = block._starts(np.argsort(block.doc, kind="stable"))
+    assert sum(block.doc[mine] < 30) == 30 * 29 // 2
+    got = Counter()
+    for doc, other, begin, y, size, *_ in block.pairs():
+        got += Counter((doc, other, b + k, a + k) for b, a, n in zip(begin.tolist(), y.tolist(), size.tolist()) for k in range(n))
+    assert got == Counter((d, e, p, q) for v in shared for d, p in v for e, q in v if e < d)
+
+
+def test_exchanges_are_removed_when_a_table_is_written(spark, tmp_path, monkeypatch):
+    asked = []
+    monkeypatch.setattr(passages, "saved", lambda df, label: asked.append(spark.conf.get(passages.CLEANUP)) or df)
+    before = spark.conf.get(passages.CLEANUP, None)
+    passages._written(spark.range(3), "rows")
+    assert asked == ["true"] and spark.conf.get(passages.CLEANUP, None) == before
