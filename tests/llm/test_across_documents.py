@@ -354,7 +354,7 @@ def test_runs_are_looked_at_once_and_whole():
             places[tuple(words[p : p + passages.K])].append((d, p))
     shared = [v for v in places.values() if len({d for d, _ in v}) > 1]
     side = {"before": 0, "after": 0}
-    later = [[{"doc_id": d, "x": p, **side, "apart": False} for d, p in v] for v in shared]
+    later = [[{"doc_id": d, "x": p, **side, "single": False, "covered": False} for d, p in v] for v in shared]
     earlier = [[{"doc_id": d, "y": p, **side, "single": True} for d, p in v] for v in shared]
     block = passages._Block([pa.RecordBatch.from_pydict({"later": later, "earlier": earlier})])
     mine, at = block._starts(np.argsort(block.doc, kind="stable"))
