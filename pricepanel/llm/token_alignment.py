@@ -11,11 +11,11 @@ group there is closed by stepping the side that is behind until both end
 together, and the shift follows.  Long arrays are cut where words end, which
 both sides do, and their parts walked side by side, one numpy call for all.
 
-Pairs are counted in Spark.  A slice of documents is written with its links as
-indices into its list of distinct pairs; the lists of all slices are summed by
-pair, the highest count of each A id is taken, and the figures go back to the
-slices that asked for them.  Nothing is broadcast and no key holds documents:
-a pair in every document costs one row per slice.
+Pairs are counted in Spark.  A slice of documents is written with its list of
+distinct pairs and, packed, which of them each document holds how often; the
+lists of all slices are summed by pair, the highest count of each A id is taken,
+and the figures go back to the slices that asked for them.  Nothing is broadcast
+and no key holds documents: a pair in every document costs one row per slice.
 
 Encoding keeps a bounded cache of words.  A text is cut before a blank between
 two visible characters, where neither tokenizer joins anything (the A
@@ -71,7 +71,7 @@ COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 _SLICE_DDL = (
     "slice long, doc_ids array<long>, "
     + ", ".join(f"{c} array<long>" for c in COUNTS)
-    + ", digests array<string>, pairs array<long>, holders array<long>, links array<int>"
+    + ", digests array<string>, pairs array<long>, holders array<long>, held array<int>, links binary"
 )
 RESULT = (
     "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", n_best long, count_sum long, groups_sha256 string"
@@ -376,9 +376,25 @@ class Aligned:
 # -- over a table ---------------------------------------------------------------------------------------------
 
 
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of 32-bit numbers, compressed by byte planes: most are small."""
+    both = np.stack(columns).astype("<i4")
+    return pa.compress(np.moveaxis(both.view(np.uint8).reshape(*both.shape, 4), 2, 0).tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(packed: pa.Buffer, n_columns: int, size: int) -> np.ndarray:
+    plain = pa.decompress(packed, 4 * n_columns * size, "zstd")
+    planes = np.frombuffer(plain, np.uint8).reshape(4, n_columns, size)
+    return np.ascontiguousarray(np.moveaxis(planes, 0, 2)).view("<i4")[:, :, 0]
+
+
 def slices(docs: DataFrame, text: str, id_col: str, paths: tuple[str, str]) -> DataFrame:
-    """One row per slice: figures of its documents, its distinct pairs with their documents, links as indices."""
-    kinds = {"digests": pa.string(), "links": pa.int32()}
+    """One row per slice: figures of its documents, its distinct pairs with their documents, the documents' links.
+
+    Sums over links do not ask for their order: ``held`` has how many distinct pairs each document links, ``links`` the
+    step to each pair's index from the one before it, and how often the document links it.
+    """
+    kinds = {"digests": pa.string(), "held": pa.int32()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = tokenizers(*paths)
@@ -395,16 +411,17 @@ def slices(docs: DataFrame, text: str, id_col: str, paths: tuple[str, str]) -> D
             one = {c: np.concatenate(v) for c, v in figures.items()}
             pairs, index = np.unique(np.concatenate(seen), return_inverse=True)
             row = np.repeat(np.arange(part.num_rows), one["n_links"])
-            held = np.unique(row * max(len(pairs), 1) + index) % max(len(pairs), 1)
-            holders = np.bincount(held, minlength=len(pairs))
-            values = {"slice": number, "doc_ids": part.column("doc_id"), **one, "digests": digests}
-            values |= {"pairs": pairs, "holders": holders, "links": index.astype(np.int32)}
-            number += 1
-            arrays = [pa.array([number - 1])]
-            for name, v in list(values.items())[1:]:
+            found, times = np.unique(row * max(len(pairs), 1) + index, return_counts=True)
+            row, index = np.divmod(found, max(len(pairs), 1))
+            holders, held = np.bincount(index, minlength=len(pairs)), np.bincount(row, minlength=part.num_rows)
+            values = {"doc_ids": part.column("doc_id"), **one, "digests": digests, "pairs": pairs, "holders": holders, "held": held}
+            arrays = [pa.array([number])]
+            for name, v in values.items():
                 flat = v if isinstance(v, pa.Array) else pa.array(v, kinds.get(name, pa.int64()))
                 arrays.append(pa.ListArray.from_arrays([0, len(flat)], flat))
-            yield pa.RecordBatch.from_arrays(arrays, names=list(values))
+            arrays.append(pa.array([_packed(np.diff(index, prepend=0), times)], pa.binary()))
+            yield pa.RecordBatch.from_arrays(arrays, names=["slice", *values, "links"])
+            number += 1
 
     chosen = docs.selectExpr(f"cast(`{id_col}` as long) AS doc_id", f"`{text}` AS text")
     return chosen.mapInArrow(run, _SLICE_DDL)
@@ -437,17 +454,17 @@ def digest(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                column = {c: batch.column(c)[i].values for c in batch.schema.names if c != "slice"}
-                index = column["links"].to_numpy(zero_copy_only=False)
+                column = {c: batch.column(c)[i].values for c in batch.schema.names if c not in ("slice", "links")}
+                stops = np.concatenate([[0], np.cumsum(column["held"].to_numpy(zero_copy_only=False), dtype=np.int64)])
+                step, times = _unpacked(batch.column("links")[i].as_buffer(), 2, int(stops[-1]))
+                index = np.cumsum(step, dtype=np.int64)
                 value = np.zeros(0, np.int64)
                 if column["told"] is not None:
                     at, v = (column["told"].field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
                     value = np.empty(len(at), np.int64)
                     value[at] = v
-                n_links = column["n_links"].to_numpy(zero_copy_only=False)
-                stops = np.concatenate([[0], np.cumsum(n_links)])
-                best = np.concatenate([[0], np.cumsum(value[index] & 1)])
-                total = np.concatenate([[0], np.cumsum(value[index] >> 1)])
+                best = np.concatenate([[0], np.cumsum((value[index] & 1) * times)])
+                total = np.concatenate([[0], np.cumsum((value[index] >> 1) * times)])
                 sums = [pa.array(s[stops[1:]] - s[stops[:-1]]) for s in (best, total)]
                 yield pa.RecordBatch.from_arrays(
                     [column["doc_ids"], *[column[c] for c in COUNTS], *sums, column["digests"]],

@@ -170,6 +170,26 @@ def test_alignment_of_awkward_texts_and_of_nothing(spark):
     assert [tuple(r)[1:] for r in A.digest(C.plain(spark, [None, ""])).collect()] == [(0, 0, 0, 0, 0, 0, "")] * 2
 
 
+def test_links_cross_the_network_packed(spark):
+    rng = random.Random(6)
+    texts = [C.prose(rng, 1500) for _ in range(40)] + ["of the " * 40_000, None, "x"]
+    docs = C.plain(spark, texts)
+    found = {r["doc_id"]: tuple(r)[1:] for r in A.digest(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == aligned(texts)
+    written = A.slices(docs, "text", "doc_id", A.default_paths()).collect()
+    # Four bytes a link, as they were before, make rows that take hundreds of MB of an executor.
+    assert sum(len(r["links"]) for r in written) < sum(sum(r["n_links"]) for r in written) / 4
+    assert sum(len(r["held"]) for r in written) == len(texts)
+
+
+@pytest.mark.parametrize("size", [0, 1, 300])
+def test_packed_numbers_come_back(size):
+    rng = np.random.default_rng(size)
+    columns = [rng.integers(-(2**31), 2**31, size), np.arange(size)]
+    got = A._unpacked(pa.py_buffer(A._packed(*columns)), 2, size)
+    assert got.shape == (2, size) and all((x == y).all() for x, y in zip(got, columns))
+
+
 # -- quality model --------------------------------------------------------------------------------------------
 
 
