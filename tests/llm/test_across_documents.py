@@ -371,3 +371,93 @@ def test_exchanges_are_removed_when_a_table_is_written(spark, tmp_path, monkeypa
     before = spark.conf.get(passages.CLEANUP, None)
     passages._written(spark.range(3), "rows")
     assert asked == ["true"] and spark.conf.get(passages.CLEANUP, None) == before
+
+
+# -- chains that go on to texts ---------------------------------------------------------------------------------
+
+
+def block_of(a, b):
+    """A block of one later and one earlier document, both of words, and the word hashes of each."""
+    sides = []
+    for text in (" ".join(a), " ".join(b)):
+        words = Words(pa.array([text]), ALNUM, lower=True)
+        hashes = words.hashes()
+        row, position, h = passages._seeds(words, hashes)
+        plain = np.flatnonzero(h & np.uint64(1))
+        before, after = passages._beside(words, hashes, row[plain], position[plain])
+        sides.append((hashes, list(zip(h[plain].tolist(), position[plain].tolist(), before.tolist(), after.tolist()))))
+    seeds = sorted({r[0] for r in sides[0][1]} & {r[0] for r in sides[1][1]})
+    later = [[dict(doc_id=1, x=x, before=p, after=q, single=True, covered=False) for h, x, p, q in sides[0][1] if h == s] for s in seeds]
+    earlier = [[dict(doc_id=0, y=y, before=p, after=q, single=True) for h, y, p, q in sides[1][1] if h == s] for s in seeds]
+    place = lambda c: [(k, pa.int32() if k in ("x", "y") else pa.bool_() if k in ("single", "covered") else pa.int64()) for k in c]
+    kinds = [pa.list_(pa.struct(place(c))) for c in (("doc_id", "x", "before", "after", "single", "covered"), ("doc_id", "y", "before", "after", "single"))]
+    rows = pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip((later, earlier), kinds)], names=["later", "earlier"])
+    return [rows], sides[0][0], sides[1][0]
+
+
+def around(hashes, at):
+    begin = max(at[0] - passages.MARGIN, 0)
+    return hashes[begin : at[-1] + passages.K + passages.MARGIN], [p - begin for p in at], begin
+
+
+def aligned_chains(a, b, found):
+    out = set()
+    for x, y in found:
+        (mine, x, i), (other, y, j) = around(a, x), around(b, y)
+        out |= {(p + i, q + i, r + j, s + j, equal) for p, q, r, s, equal in passages.align(mine, other, x, y)}
+    return out
+
+
+def kept_and_all(a, b):
+    """Chains that go on to texts and all chains of two documents, and the word hashes of these."""
+    rows, one, two = block_of(a, b)
+    kept = [(x, y) for c in passages._Block(rows).chain_batches() for x, y in zip(c["x"].to_pylist(), c["y"].to_pylist())]
+    group = rows[0].to_pylist()
+    both = np.array([(p["x"], q["y"]) for r in group for p in r["later"] for q in r["earlier"]], np.int64).reshape(-1, 2)
+    zero = np.zeros(1, np.int64)
+    every = [c[2:4] for c in passages._chains_of(zero + 1, zero, np.zeros(len(both), np.int64), both[:, 0], both[:, 1])]
+    return kept, every, one, two
+
+
+def test_chains_that_do_not_go_on_make_no_passage():
+    rng = random.Random(12)
+    word = lambda: rng.choice(["ha", "the", "of", "on", *(f"w{i}" for i in range(40))])
+    n_kept = n_every = n_found = 0
+    for _ in range(300):
+        shared = [word() for _ in range(rng.randint(20, 160))]
+        sides = []
+        for _ in range(2):
+            body = []
+            for w in shared:
+                change = rng.random() * 8
+                body += [] if change < 0.25 else [word()] if change < 1 else [w, word()] if change < 1.25 else [w]
+            loops = [[rng.choice(["ha", "the"])] * rng.randint(5, 60) for _ in range(2)]
+            prose = lambda: [f"x{rng.randrange(10**6)}" for _ in range(rng.randint(0, 60))]
+            sides.append([*prose(), *loops[0], *prose(), *body, *loops[1], *prose()])
+        kept, every, a, b = kept_and_all(*sides)
+        n_kept, n_every = n_kept + len(kept), n_every + len(every)
+        want = aligned_chains(a, b, every)
+        n_found += len(want)
+        assert aligned_chains(a, b, kept) == want
+    print("chains", n_every, "kept", n_kept, "passages", n_found)
+    assert n_found > 200 and n_kept < n_every / 5  # by the words of a chain's ends alone, more than a quarter
+
+
+def test_chains_across_loops_do_not_go_on():
+    """A chain that goes on by 5 words of one loop for 1 word of another has a fifth of its words equal."""
+    rng = random.Random(13)
+    prose = lambda n: [f"x{rng.randrange(10**6)}" for _ in range(n)]
+    sides = [[*prose(50), *["ha"] * n, *prose(m), *["the"] * 9, *prose(50)] for n, m in ((200, 30), (35, 8))]
+    kept, every, a, b = kept_and_all(*sides)
+    assert len(every) > 5 and not aligned_chains(a, b, every)
+    assert not kept
+
+
+def test_matches_of_many_pairs_are_thinned_like_those_of_one():
+    rng = np.random.default_rng(5)
+    pair = np.repeat(np.arange(30), 80)
+    x, y = rng.integers(0, 25, len(pair)), rng.integers(0, 25, len(pair))
+    for p in range(0, 30, 3):  # a long run among them
+        x[pair == p], y[pair == p] = np.arange(80) // 2 + 5, np.arange(80) // 2 + 9
+    got = list(zip(*(v.tolist() for v in passages._thinned(pair, x, y))))
+    assert got == [(p, *m) for p in range(30) for m in zip(*(v.tolist() for v in passages.thinned(x[pair == p], y[pair == p])))]
